@@ -1,0 +1,18 @@
+"""Oracle SQL per query name (DuckDB over the raw parquet views)."""
+
+from __future__ import annotations
+
+from oracle import views_sql as V
+from oracle.mart_sql import stable
+
+ORACLE: dict[str, str] = {
+    "current_base_cost_first": V.current_base_cost("Beer", "first"),
+    "current_base_cost_last": V.current_base_cost("Liquor", "last"),
+    "current_base_cost_wine": V.current_base_cost("Wine", "first"),
+    "stock_category_totals": stable(V.stockcount_category_totals(), "date"),
+    "stock_conversion": stable(V.stockcount_conversion(), "date"),
+    "stock_monthly_densified": stable(V.stockcount_monthly(), "date"),
+    "stock_purchases": stable(V.stockcount_purchases(), "date"),
+    "stock_waste": stable(V.stockcount_waste(), "date"),
+    "stock_waste_fanout": stable(V.stockcount_waste(fanout=True), "date"),
+}
