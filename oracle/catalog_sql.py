@@ -16,3 +16,11 @@ ORACLE: dict[str, str] = {
     "stock_waste": stable(V.stockcount_waste(), "date"),
     "stock_waste_fanout": stable(V.stockcount_waste(fanout=True), "date"),
 }
+
+from oracle import cost_sql as C  # noqa: E402
+
+ORACLE.update({
+    "latest_item_price": C.latest_item_price(),
+    "weekly_item_base_cost": C.weekly_item_base_cost(2000, 6, 2),
+    "weekly_base_cost_all": C.weekly_base_cost_all((2000,)),
+})

@@ -87,3 +87,28 @@ def _swaste(m: Mart) -> DataFrame:
 @query("stock_waste_fanout")
 def _swaste_fan(m: Mart) -> DataFrame:
     return views.stockcount_waste(m, fanout=True)
+
+
+# -- cost jobs ----------------------------------------------------------------
+from tavola.plans import cost  # noqa: E402
+
+COST_WEEK = (2000, 6, 2)      # fiscal year, period, week of the one-week job
+COST_YEARS = (2000,)          # years of the all-weeks backfill
+
+
+@query("latest_item_price")
+def _lip(m: Mart) -> DataFrame:
+    """DOM-05 / WIN-01: newest purchase per store and item."""
+    return cost.latest_item_price(m)
+
+
+@query("weekly_item_base_cost")
+def _wibc(m: Mart) -> DataFrame:
+    """DOM-06 / JN-13 / JN-19: one fiscal week."""
+    return cost.weekly_item_base_cost(m, *COST_WEEK)
+
+
+@query("weekly_base_cost_all")
+def _wbca(m: Mart) -> DataFrame:
+    """DOM-06 / JN-14 / INC-03: every week of the given years."""
+    return cost.weekly_base_cost_all(m, COST_YEARS)
