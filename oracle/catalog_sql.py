@@ -24,3 +24,12 @@ ORACLE.update({
     "weekly_item_base_cost": C.weekly_item_base_cost(2000, 6, 2),
     "weekly_base_cost_all": C.weekly_base_cost_all((2000,)),
 })
+
+from oracle import menu_sql as M  # noqa: E402
+
+ORACLE.update({
+    "menu_engineering": M.menu_engineering("2001-08-01", 2001, 8),
+    "menu_rating": M.menu_rating(),
+    "menu_rating_totals": M.menu_rating_totals(),
+    "uncategorised_top25": M.uncategorised_top25(),
+})

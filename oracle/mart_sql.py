@@ -101,6 +101,28 @@ _DEFS: dict[str, tuple[tuple[str, ...], str]] = {
     "inv_count": (("stock_count",), """
         SELECT itemid AS item_id, id AS store_id, date AS trans_date, sum(quantity) AS count_total
         FROM stock_count WHERE type = 'Stock Count' GROUP BY 1, 2, 3"""),
+    "product_mix": (("restaurants",), """
+        SELECT a.store_id, a.itemid, a.qty, a.price, a.sales,
+               p_name || ' ' || CAST(p_partkey AS VARCHAR) AS menu_item,
+               CASE WHEN p_size % 11 = 0 THEN NULL
+                    ELSE CASE p_size % 3 WHEN 2 THEN 'Beverage' ELSE 'Food' END END AS cat1,
+               CASE WHEN p_size % 11 = 0 THEN NULL
+                    ELSE CASE p_type WHEN 'ECONOMY' THEN 'Entree' WHEN 'STANDARD' THEN 'Entree'
+                         WHEN 'SMALL' THEN 'Appetizer' WHEN 'MEDIUM' THEN 'Dessert'
+                         WHEN 'LARGE' THEN 'Salad' WHEN 'PROMO' THEN 'Sides' ELSE 'Other' END END AS cat2,
+               CASE WHEN p_size % 11 = 0 THEN NULL ELSE p_brand END AS cat3,
+               r.name AS location, r.concept
+        FROM (SELECT l_suppkey AS store_id, l_partkey AS itemid, sum(l_quantity) AS qty,
+                     avg(l_extendedprice / NULLIF(l_quantity, 0)) AS price,
+                     sum(l_extendedprice) AS sales
+              FROM lineitem GROUP BY 1, 2) a
+        JOIN part ON p_partkey = a.itemid
+        JOIN restaurants r ON r.id = a.store_id"""),
+    "menu_cost": ((), """
+        SELECT l_suppkey AS store_id, l_partkey AS itemid,
+               avg(CASE WHEN l_linestatus = 'F'
+                        THEN l_extendedprice * (l_discount + l_tax) / NULLIF(l_quantity, 0) END) AS cost
+        FROM lineitem GROUP BY 1, 2"""),
 }
 
 

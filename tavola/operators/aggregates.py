@@ -55,7 +55,8 @@ def with_totals(df: DataFrame, group: Sequence[str], measures: Sequence[str],
     is never gathered per group.
     """
     ratios = ratios or {}
-    totals = df.groupBy(*group).agg(*[F.sum(m).alias(m) for m in measures])
+    # pandas semantics: a sum skips nulls and an all-null sum is 0.
+    totals = df.groupBy(*group).agg(*[F.coalesce(F.sum(m), F.lit(0)).alias(m) for m in measures])
     for name, (num, den, default) in ratios.items():
         totals = totals.withColumn(
             name, F.when(F.coalesce(F.col(den), F.lit(0)) != 0, F.col(num) / F.col(den))

@@ -112,3 +112,33 @@ def _wibc(m: Mart) -> DataFrame:
 def _wbca(m: Mart) -> DataFrame:
     """DOM-06 / JN-14 / INC-03: every week of the given years."""
     return cost.weekly_base_cost_all(m, COST_YEARS)
+
+
+# -- menu engineering ----------------------------------------------------------
+from tavola.plans import menu  # noqa: E402
+
+MENU_DATE, MENU_YEAR, MENU_PERIOD = AS_OF, 2001, 8
+
+
+@query("menu_engineering")
+def _me(m: Mart) -> DataFrame:
+    """DOM-01 + DOM-03: metrics per store and item with bread-basket rows."""
+    return menu.menu_engineering(m, MENU_DATE, MENU_YEAR, MENU_PERIOD)
+
+
+@query("menu_rating")
+def _mr(m: Mart) -> DataFrame:
+    """DOM-02: Star / Opportunity / Puzzle / Dog per store and category."""
+    return menu.menu_rating(m, menu.specialty_items(m))
+
+
+@query("menu_rating_totals")
+def _mrt(m: Mart) -> DataFrame:
+    """DOM-02 + AGG-08: rated detail plus a totals row per store/category."""
+    return menu.menu_rating_totals(m, menu.specialty_items(m))
+
+
+@query("uncategorised_top25")
+def _unc(m: Mart) -> DataFrame:
+    """DOM-04 / DQ-06 / SRT-03: uncategorised items, top 25 by sales."""
+    return menu.uncategorised_items(m, menu.specialty_items(m), "sales", 25)
