@@ -33,3 +33,12 @@ ORACLE.update({
     "menu_rating_totals": M.menu_rating_totals(),
     "uncategorised_top25": M.uncategorised_top25(),
 })
+
+from oracle import recipes_sql as RC  # noqa: E402
+
+ORACLE.update({
+    "recipe_explosion": RC.recipe_explosion(),
+    "menu_item_recipes": RC.menu_item_recipes(),
+    "recipe_base_units": RC.recipe_base_units(),
+    "menu_cost_converted": RC.menu_cost_converted(),
+})

@@ -126,7 +126,7 @@ _DEFS: dict[str, tuple[tuple[str, ...], str]] = {
 }
 
 
-def ctes(*names: str, extra: dict[str, str] | None = None) -> str:
+def ctes(*names: str, extra: dict[str, str] | None = None, recursive: bool = False) -> str:
     """``WITH`` clause defining ``names`` (and their dependencies) in order;
     ``extra`` adds query-specific CTEs after the mart ones."""
     order: list[str] = []
@@ -143,4 +143,4 @@ def ctes(*names: str, extra: dict[str, str] | None = None) -> str:
     parts = [f"{n} AS ({_DEFS[n][1]})" for n in order]
     for k, v in (extra or {}).items():
         parts.append(f"{k} AS ({v})")
-    return "WITH " + ",\n".join(parts) + "\n"
+    return ("WITH RECURSIVE " if recursive else "WITH ") + ",\n".join(parts) + "\n"

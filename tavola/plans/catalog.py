@@ -142,3 +142,31 @@ def _mrt(m: Mart) -> DataFrame:
 def _unc(m: Mart) -> DataFrame:
     """DOM-04 / DQ-06 / SRT-03: uncategorised items, top 25 by sales."""
     return menu.uncategorised_items(m, menu.specialty_items(m), "sales", 25)
+
+
+# -- recipes ------------------------------------------------------------------
+from tavola.plans import recipes  # noqa: E402
+
+
+@query("recipe_explosion")
+def _rex(m: Mart) -> DataFrame:
+    """REC-01/02 / DOM-08: menu items exploded into raw ingredients."""
+    return recipes.recipe_explosion(m)
+
+
+@query("menu_item_recipes")
+def _mir(m: Mart) -> DataFrame:
+    """DOM-08 bridge table."""
+    return recipes.menu_item_recipes(m)
+
+
+@query("recipe_base_units")
+def _rbu(m: Mart) -> DataFrame:
+    """DOM-07 / NUM-09: direct menu-recipe ingredients in base units."""
+    return recipes.recipe_base_units(m)
+
+
+@query("menu_cost_converted")
+def _mcc(m: Mart) -> DataFrame:
+    """DOM-10 / NUM-07: ingredient cost with unit conversion."""
+    return recipes.menu_cost_converted(m)
