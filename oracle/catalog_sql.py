@@ -42,3 +42,22 @@ ORACLE.update({
     "recipe_base_units": RC.recipe_base_units(),
     "menu_cost_converted": RC.menu_cost_converted(),
 })
+
+from oracle import maintenance_sql as MT  # noqa: E402
+
+ORACLE.update({
+    "upsert_full": MT.upsert_full(),
+    "upsert_subset": MT.upsert_subset(),
+    "replace_keys": MT.replace_keys(),
+    "drop_superseded_any": MT.drop_superseded_any(),
+    "drop_superseded_absent": MT.drop_superseded_absent(),
+    "replace_range": MT.replace_range(),
+    "replace_year": MT.replace_year(),
+    "sync_full": MT.sync_full(),
+    "find_renamed": MT.renamed_customers(),
+    "apply_renames": MT.orders_with_renames(),
+    "dedup_keep_last": MT.events_dedup("last"),
+    "dedup_keep_first": MT.events_dedup("first"),
+    "fk_validate": MT.orders_fk_validated(),
+    "duplicate_report": MT.lineitem_duplicates(),
+})

@@ -170,3 +170,26 @@ def _rbu(m: Mart) -> DataFrame:
 def _mcc(m: Mart) -> DataFrame:
     """DOM-10 / NUM-07: ingredient cost with unit conversion."""
     return recipes.menu_cost_converted(m)
+
+
+# -- table maintenance ---------------------------------------------------------
+from tavola.plans import maintenance as mt  # noqa: E402
+
+for _name, _fn, _doc in [
+    ("upsert_full", mt.upsert_full, "MRG-01/02: whole-row upsert on the key."),
+    ("upsert_subset", mt.upsert_subset, "MRG-01/10: subset-column upsert with update stamp."),
+    ("replace_keys", mt.replace_keys, "MRG-03: delete the batch's days, insert the batch."),
+    ("drop_superseded_any", mt.drop_superseded_any, "MRG-04: delete rows of another version."),
+    ("drop_superseded_absent", mt.drop_superseded_absent, "MRG-05: delete rows whose version is gone."),
+    ("replace_range", mt.replace_range, "MRG-06/11: replace a half-open date range."),
+    ("replace_year", mt.replace_year, "MRG-07: replace the years present in the batch."),
+    ("sync_full", mt.sync_full, "MRG-08: full sync to the batch."),
+    ("find_renamed", mt.renamed_customers, "JN-18: renamed customers between snapshots."),
+    ("apply_renames", mt.orders_with_renames, "MRG-09: rename propagation into a fact."),
+    ("dedup_keep_last", lambda m: mt.events_dedup(m, "last"), "AGG-13: last event per user."),
+    ("dedup_keep_first", lambda m: mt.events_dedup(m, "first"), "AGG-13: first event per user."),
+    ("fk_validate", mt.orders_fk_validated, "JN-17: null out unknown customer ids."),
+    ("duplicate_report", mt.lineitem_duplicates, "DQ-03: repeated (order, line) keys."),
+]:
+    query(_name)(_fn)
+    QUERIES[_name].__doc__ = _doc
