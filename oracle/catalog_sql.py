@@ -61,3 +61,15 @@ ORACLE.update({
     "fk_validate": MT.orders_fk_validated(),
     "duplicate_report": MT.lineitem_duplicates(),
 })
+
+from oracle import dims_sql as D  # noqa: E402
+
+ORACLE.update({
+    "fiscal_calendar": D.fiscal_calendar(),
+    "calendar_rollforward": D.calendar_rollforward(),
+    "fiscal_range": D.fiscal_range(),
+    "business_date_0400": D.business_date_0400(),
+    "budget_unpivot": D.budget_unpivot(),
+    "item_name_parts": D.item_name_parts(),
+    "paren_negative": D.invoice_money_text(),
+})

@@ -15,8 +15,15 @@ def parse_ts(c, fmt: str | None = None) -> Column:
 
 
 def parse_date(c, fmt: str) -> Column:
-    """DT-02: text in a fixed format to a date, invalid -> null."""
-    return F.to_date(F.try_to_timestamp(as_col(c), F.lit(fmt)))
+    """DT-02: text in a fixed format to a date, invalid -> null.
+
+    A two-digit year follows the POSIX / Python ``%y`` pivot (69-99 ->
+    1969-1999, 00-68 -> 2000-2068); Spark alone would read 95 as 2095.
+    """
+    d = F.to_date(F.try_to_timestamp(as_col(c), F.lit(fmt)))
+    if "yy" in fmt and "yyy" not in fmt:
+        d = F.when(F.year(d) >= 2069, F.add_months(d, -1200)).otherwise(d)
+    return d
 
 
 def reformat_date(c, src_fmt: str, dst_fmt: str) -> Column:
@@ -42,11 +49,12 @@ def day_of(c) -> Column:
     return F.to_date(as_col(c))
 
 
-def business_date(ts, tz: str, start_hour: int = 4) -> Column:
-    """DT-07: the business day of an event: local time shifted back by the
-    hour the business day starts (an event at 03:59 belongs to the day
-    before)."""
-    local = F.from_utc_timestamp(as_col(ts), tz)
+def business_date(ts, tz: str, start_hour: int = 4, source_tz: str = "UTC") -> Column:
+    """DT-07: the business day of an event: local wall-clock time in ``tz``
+    shifted back by the hour the business day starts (an event at 03:59
+    belongs to the day before). ``ts`` is a wall-clock timestamp in
+    ``source_tz``; the result does not depend on the session time zone."""
+    local = F.convert_timezone(F.lit(source_tz), F.lit(tz), as_col(ts))
     return F.to_date(local - F.make_dt_interval(F.lit(0), F.lit(start_hour)))
 
 

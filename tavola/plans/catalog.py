@@ -193,3 +193,19 @@ for _name, _fn, _doc in [
 ]:
     query(_name)(_fn)
     QUERIES[_name].__doc__ = _doc
+
+
+# -- calendar, budgets, business days, text ------------------------------------
+from tavola.plans import dims, text  # noqa: E402
+
+for _name, _fn, _doc in [
+    ("fiscal_calendar", dims.fiscal_calendar_of_orders, "DT-06/DT-12: fiscal calendar of the order span."),
+    ("calendar_rollforward", dims.calendar_rollforward, "DOM-17 / DT-03: next year's calendar."),
+    ("fiscal_range", dims.fiscal_ranges, "DT-10: start and end of every fiscal period."),
+    ("business_date_0400", dims.business_day_sales, "DT-07: events per 04:00 business day."),
+    ("budget_unpivot", dims.budget_unpivot, "DOM-16 / RSH-01 / STR-08: budgets to long form."),
+    ("item_name_parts", text.item_name_parts, "STR-01..07, STR-12: name splitting and clean-up."),
+    ("paren_negative", text.invoice_money_text, "STR-09/10 + FLT-10: report money text parsed."),
+]:
+    query(_name)(_fn)
+    QUERIES[_name].__doc__ = _doc
