@@ -73,3 +73,10 @@ ORACLE.update({
     "item_name_parts": D.item_name_parts(),
     "paren_negative": D.invoice_money_text(),
 })
+
+from oracle import pos_sql as P  # noqa: E402
+
+ORACLE.update({
+    "payment_summary": P.payment_summary(),
+    "product_mix_nested": P.product_mix(),
+})

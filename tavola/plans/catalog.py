@@ -209,3 +209,19 @@ for _name, _fn, _doc in [
 ]:
     query(_name)(_fn)
     QUERIES[_name].__doc__ = _doc
+
+
+# -- point of sale (nested JSON) --------------------------------------------------
+from tavola.plans import pos  # noqa: E402
+
+
+@query("payment_summary")
+def _pay(m: Mart) -> DataFrame:
+    """DOM-12 / NST-02 / FLT-03 / AGG-03: credit payments by entry mode."""
+    return pos.payment_summary(m)
+
+
+@query("product_mix_nested")
+def _pmix(m: Mart) -> DataFrame:
+    """DOM-11 / NST-03..05 / REC-03 / AGG-15/16: product mix from orders."""
+    return pos.product_mix(m)
