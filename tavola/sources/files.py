@@ -86,9 +86,9 @@ def unwrap_records(df: DataFrame, json_col: str, record_schema: T.StructType) ->
     list-valued field holds the records, or a single record."""
     v = F.col(json_col)
     trimmed = F.ltrim(v)
-    keys = F.json_object_keys(v)
-    first_list = F.filter(F.transform(keys, lambda k: F.get_json_object(v, F.concat(F.lit("$."), k))),
-                          lambda x: F.ltrim(x).startswith("["))
+    # field values as raw JSON texts, in document order
+    values = F.map_values(F.from_json(v, T.MapType(T.StringType(), T.StringType())))
+    first_list = F.filter(values, lambda x: F.ltrim(x).startswith("["))
     inner = F.when(trimmed.startswith("["), v) \
              .when(F.size(first_list) > 0, F.get(first_list, 0)) \
              .otherwise(v)
