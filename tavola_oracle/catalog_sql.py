@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from oracle import views_sql as V
-from oracle.mart_sql import stable
+from tavola_oracle import views_sql as V
+from tavola_oracle.mart_sql import stable
 
 ORACLE: dict[str, str] = {
     "current_base_cost_first": V.current_base_cost("Beer", "first"),
@@ -17,7 +17,7 @@ ORACLE: dict[str, str] = {
     "stock_waste_fanout": stable(V.stockcount_waste(fanout=True), "date"),
 }
 
-from oracle import cost_sql as C  # noqa: E402
+from tavola_oracle import cost_sql as C  # noqa: E402
 
 ORACLE.update({
     "latest_item_price": C.latest_item_price(),
@@ -25,7 +25,7 @@ ORACLE.update({
     "weekly_base_cost_all": C.weekly_base_cost_all((2000,)),
 })
 
-from oracle import menu_sql as M  # noqa: E402
+from tavola_oracle import menu_sql as M  # noqa: E402
 
 ORACLE.update({
     "menu_engineering": M.menu_engineering("2001-08-01", 2001, 8),
@@ -34,7 +34,7 @@ ORACLE.update({
     "uncategorised_top25": M.uncategorised_top25(),
 })
 
-from oracle import recipes_sql as RC  # noqa: E402
+from tavola_oracle import recipes_sql as RC  # noqa: E402
 
 ORACLE.update({
     "recipe_explosion": RC.recipe_explosion(),
@@ -43,7 +43,7 @@ ORACLE.update({
     "menu_cost_converted": RC.menu_cost_converted(),
 })
 
-from oracle import maintenance_sql as MT  # noqa: E402
+from tavola_oracle import maintenance_sql as MT  # noqa: E402
 
 ORACLE.update({
     "upsert_full": MT.upsert_full(),
@@ -62,7 +62,7 @@ ORACLE.update({
     "duplicate_report": MT.lineitem_duplicates(),
 })
 
-from oracle import dims_sql as D  # noqa: E402
+from tavola_oracle import dims_sql as D  # noqa: E402
 
 ORACLE.update({
     "fiscal_calendar": D.fiscal_calendar(),
@@ -74,7 +74,7 @@ ORACLE.update({
     "paren_negative": D.invoice_money_text(),
 })
 
-from oracle import pos_sql as P  # noqa: E402
+from tavola_oracle import pos_sql as P  # noqa: E402
 
 ORACLE.update({
     "payment_summary": P.payment_summary(),

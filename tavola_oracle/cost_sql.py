@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracle.mart_sql import R, ctes
+from tavola_oracle.mart_sql import R, ctes
 
 NEWEST_DESC = "date DESC, transactionid DESC, lineid DESC, amount DESC, quantity DESC"
 OLDEST_ASC = "date ASC, transactionid ASC, lineid ASC, amount ASC, quantity ASC"

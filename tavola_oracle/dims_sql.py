@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracle.mart_sql import R
+from tavola_oracle.mart_sql import R
 
 CAL = """
 WITH span AS (SELECT min(CAST(o_orderdate AS DATE)) AS lo, max(CAST(o_orderdate AS DATE)) AS hi FROM orders),

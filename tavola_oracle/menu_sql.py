@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracle.mart_sql import R, ctes
+from tavola_oracle.mart_sql import R, ctes
 from tavola.operators.filters import NOISE_PATTERNS
 
 MEASURES = ["quantity", "menu_price", "menu_cost", "margin", "cost_pct", "sales",

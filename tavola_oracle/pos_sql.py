@@ -3,7 +3,7 @@
 
 from __future__ import annotations
 
-from oracle.mart_sql import R
+from tavola_oracle.mart_sql import R
 
 E = """
 WITH e AS (SELECT *, CAST(json_extract(props, '$.k') AS BIGINT) AS k, CAST(ts AS DATE) AS bdate,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracle.mart_sql import R, ctes
+from tavola_oracle.mart_sql import R, ctes
 
 GRAPH = {
     "raw_edges": """
@@ -64,7 +64,7 @@ PAIRS = [("OZ-fl", "OZ-wt", "volume_qty", "weight_qty"), ("OZ-wt", "OZ-fl", "wei
 
 
 def menu_cost_converted() -> str:
-    from oracle.cost_sql import NEWEST_DESC
+    from tavola_oracle.cost_sql import NEWEST_DESC
     factor = "CASE WHEN f.uofm = p.base_uofm THEN 1.0 " + " ".join(
         f"WHEN f.uofm = '{a}' AND p.base_uofm = '{b}' THEN c.{n} / NULLIF(c.{d}, 0)"
         for a, b, n, d in PAIRS) + " ELSE 1.0 END"

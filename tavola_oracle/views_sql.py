@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracle.mart_sql import NULLIF_DIV, R, ctes, stable
+from tavola_oracle.mart_sql import NULLIF_DIV, R, ctes, stable
 
 AS_OF = "2001-08-01"
 
