@@ -86,3 +86,16 @@ def test_streaming_incremental_upsert(spark, tmp):
     q.awaitTermination(120)
     got = sorted((r.id, r.version) for r in merge.read_table(spark, table).collect())
     assert got == [(2, "v1"), (3, "v2")]
+
+
+def test_read_csv_many_files_with_file_attribute(spark, tmp):
+    d = os.path.join(tmp, "budgets")
+    os.makedirs(d)
+    for name, amt in (("store_a.csv", 1.5), ("store_b.csv", 2.5)):
+        with open(os.path.join(d, name), "w") as f:
+            f.write(f"Account,Amount\n4000 - Sales,{amt}\n")
+    schema = T.StructType([T.StructField("Account", T.StringType()), T.StructField("Amount", T.DoubleType())])
+    df = files.read_csv(spark, os.path.join(d, "*.csv"), schema)
+    mapping = spark.createDataFrame([("store_a.csv", "A"), ("store_b.csv", "B")], "file_name string, location string")
+    got = sorted((r.location, r.Amount) for r in files.with_file_attribute(df, mapping).collect())
+    assert got == [("A", 1.5), ("B", 2.5)]
