@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from tavola.llm import substring_dedup
+from tavola.llm import substring_dedup, suffix_dedup
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.op1_substring_dedup,
+    "op3_suffix_dedup": suffix_dedup.op3_suffix_dedup,
 }
 
 ORACLE: dict[str, str] = {

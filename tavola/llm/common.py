@@ -50,3 +50,13 @@ def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[dict] | dic
                      for c, f in ((cols[f.name], f) for f in arrow)], schema=arrow)
 
     return df.mapInArrow(run, schema)
+
+
+def discard(parked: DataFrame) -> None:
+    """Delete a table that ``park`` wrote and that nothing reads any more."""
+    spark = parked.sparkSession
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    for file in parked.inputFiles()[:1]:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(file).getParent()
+        if path.getName().startswith("parked-") and root.split(":", 1)[-1].lstrip("/") in path.toString():
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
