@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from tavola.llm import substring_dedup, suffix_dedup
+from tavola.llm import ann, substring_dedup, suffix_dedup
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.op1_substring_dedup,
+    "op2_rotated_bits_ann": ann.op2_rotated_bits_ann,
     "op3_suffix_dedup": suffix_dedup.op3_suffix_dedup,
 }
 
@@ -28,5 +29,16 @@ e AS (
          CASE WHEN len(cut) = 0 THEN words
               ELSE [words[j] FOR j IN range(1, len(words) + 1) IF NOT list_contains(cut, j)] END AS kept FROM r)
 SELECT doc_id, n_words, n_removed, sha256(array_to_string(kept, ' ')) AS kept_sha256 FROM e
+""",
+    "op2_rotated_bits_ann": """
+WITH v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0 AND len([x FOR x IN embedding IF x <> 0]) > 0),
+s AS (
+  SELECT q.vec_id AS query_id, v.vec_id, list_dot_product(q.e, v.e) AS score
+  FROM v AS q JOIN v ON v.vec_id <> q.vec_id AND len(v.e) = len(q.e) WHERE q.vec_id % 20 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 20
 """,
 }
