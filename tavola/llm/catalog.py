@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from tavola.llm import ann, pii, substring_dedup, suffix_dedup
+from tavola.llm import ann, pii, sentencepiece_viterbi, substring_dedup, suffix_dedup
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.op1_substring_dedup,
     "op2_rotated_bits_ann": ann.op2_rotated_bits_ann,
     "op3_suffix_dedup": suffix_dedup.op3_suffix_dedup,
+    "op6_sentencepiece": sentencepiece_viterbi.op6_sentencepiece,
     "op9_feistel_pii": pii.op9_feistel_pii,
 }
 
