@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tavola.llm import ann, pii, sentencepiece_viterbi, substring_dedup, suffix_dedup
+from tavola.llm import ann, pii, quality_kn, sentencepiece_viterbi, substring_dedup, suffix_dedup
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.op1_substring_dedup,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_suffix_dedup": suffix_dedup.op3_suffix_dedup,
     "op6_sentencepiece": sentencepiece_viterbi.op6_sentencepiece,
     "op9_feistel_pii": pii.op9_feistel_pii,
+    "op10_kneser_ney_quality": quality_kn.op10_kneser_ney_quality,
 }
 
 ORACLE: dict[str, str] = {
