@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from tavola.llm import ann, order_minhash, pii, quality_kn, sentencepiece_viterbi, substring_dedup, suffix_dedup
+from tavola.llm import ann, decontaminate, order_minhash, pii, quality_kn, sentencepiece_viterbi, substring_dedup, suffix_dedup
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.op1_substring_dedup,
     "op2_rotated_bits_ann": ann.op2_rotated_bits_ann,
     "op3_suffix_dedup": suffix_dedup.op3_suffix_dedup,
     "op6_sentencepiece": sentencepiece_viterbi.op6_sentencepiece,
+    "op7_template_decontamination": decontaminate.op7_template_decontamination,
     "op8_order_minhash": order_minhash.op8_order_minhash,
     "op9_feistel_pii": pii.op9_feistel_pii,
     "op10_kneser_ney_quality": quality_kn.op10_kneser_ney_quality,
