@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from tavola.llm import ann, class_lm, decontaminate, order_minhash, pii, quality_kn, sentencepiece_viterbi, substring_dedup, suffix_dedup
+from tavola.llm import ann, class_lm, decontaminate, order_minhash, pii, quality_kn, sentencepiece_viterbi, style_tree, substring_dedup, suffix_dedup
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.op1_substring_dedup,
     "op2_rotated_bits_ann": ann.op2_rotated_bits_ann,
     "op3_suffix_dedup": suffix_dedup.op3_suffix_dedup,
     "op4_brown_class_lm": class_lm.op4_brown_class_lm,
+    "op5_style_tree_text": style_tree.op5_style_tree_text,
     "op6_sentencepiece": sentencepiece_viterbi.op6_sentencepiece,
     "op7_template_decontamination": decontaminate.op7_template_decontamination,
     "op8_order_minhash": order_minhash.op8_order_minhash,
