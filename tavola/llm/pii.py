@@ -192,9 +192,10 @@ def replace(text: str, key: str, counts: dict[str, int]) -> str:
     return PATTERN.sub(one, text) if MAYBE.search(text) else text
 
 
-def pseudonymise(docs: DataFrame, key: str = KEY) -> DataFrame:
-    """doc_id, text (values replaced) and the number of finds by kind, per input row."""
-    docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+def pseudonymise(docs: DataFrame, key: str = KEY, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The columns ``carry``, text (values replaced) and the number of finds by kind, per input row."""
+    docs = docs.select(*carry, F.col("text").cast("string"))
+    kinds = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in docs.schema if f.name != "text")
 
     def fn(batch: pa.RecordBatch):
         out, counts = [], []
@@ -202,9 +203,9 @@ def pseudonymise(docs: DataFrame, key: str = KEY) -> DataFrame:
             found: dict[str, int] = {}
             out.append(replace(text, key, found) if text else text)
             counts.append(found)
-        yield {"doc_id": batch.column("doc_id"), "text": out} | {f"n_{k}": [c.get(k, 0) for c in counts] for k in KINDS}
+        yield {c: batch.column(c) for c in carry} | {"text": out} | {f"n_{k}": [c.get(k, 0) for c in counts] for k in KINDS}
 
-    return map_arrow(docs, fn, "doc_id long, text string, " + ", ".join(f"n_{k} int" for k in KINDS))
+    return map_arrow(docs, fn, kinds + "text string, " + ", ".join(f"n_{k} int" for k in KINDS))
 
 
 def op9_feistel_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

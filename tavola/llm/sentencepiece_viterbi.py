@@ -170,8 +170,8 @@ def _encode_slice(vocab: Vocabulary, known: dict, data: np.ndarray, offsets: np.
     return ids, bounds
 
 
-def encode(docs: DataFrame, model: str = MODEL) -> DataFrame:
-    """doc_id, ids, n_ids, round_trip (decoding the ids gives the text) per input row."""
+def encode(docs: DataFrame, model: str = MODEL, decoded: bool = False) -> DataFrame:
+    """doc_id, ids, n_ids, round_trip (decoding the ids gives the text) per input row; text with ``decoded``."""
     spark = docs.sparkSession
     proto = bytes(spark.read.format("binaryFile").load(model).first()["content"])
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
@@ -191,10 +191,14 @@ def encode(docs: DataFrame, model: str = MODEL) -> DataFrame:
             null = column.slice(a, b - a).is_null()
             listed = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32()),
                                               mask=null if null.true_count else None)
-            yield {"doc_id": batch.column("doc_id").slice(a, b - a), "ids": listed,
-                   "n_ids": np.diff(bounds), "round_trip": pa.array(same)}
-
-    return map_arrow(docs, fn, "doc_id long, ids array<int>, n_ids long, round_trip boolean")
+            cols = {"doc_id": batch.column("doc_id").slice(a, b - a), "ids": listed,
+                    "n_ids": np.diff(bounds), "round_trip": pa.array(same)}
+            if decoded:
+                raw, bad = back.tobytes(), null.to_pylist()
+                cols["text"] = [None if bad[i] else raw[cut[i]:cut[i + 1]].decode("utf-8", "replace") for i in range(b - a)]
+            yield cols
+
+    return map_arrow(docs, fn, "doc_id long, ids array<int>, n_ids long, round_trip boolean" + ", text string" * decoded)
 
 
 def decode(encoded: DataFrame, model: str = MODEL) -> DataFrame:
