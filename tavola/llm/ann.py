@@ -23,7 +23,6 @@ that occurs twice searches once, with its smallest vector.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,10 +32,11 @@ from tavola.llm.common import map_arrow, park, table
 
 TOP = 20
 EVERY = 20
-EPS = 3.0
+EPS = 1.9
 BLOCK_ROWS = 8192
 QUERY_ROWS = 4096
 SEED = 7
+QUERIES_AT_ONCE = 128
 
 
 def rotation(dim: int, seed: int = SEED) -> np.ndarray:
@@ -53,72 +53,84 @@ def _valid(df: DataFrame) -> DataFrame:
                     & F.exists(e, lambda x: x != 0)))
 
 
-def encode(vectors: DataFrame, seed: int = SEED) -> DataFrame:
-    """vec_id, embedding, mean, code (packed bits), norm, cos: one row per vector."""
-    dims = vectors.select(F.size("embedding").alias("dim"), F.posexplode("embedding").alias("i", "x"))
-    means = (dims.groupBy("dim", "i").agg(F.avg("x").alias("m")).groupBy("dim")
-             .agg(F.expr("transform(sort_array(collect_list(struct(i, m))), s -> s.m)").alias("mean")))
-    rows = vectors.withColumn("dim", F.size("embedding")).join(F.broadcast(means), "dim")
+def means(vectors: DataFrame) -> dict[int, np.ndarray]:
+    """The mean of all vectors, by dimension: one short vector per dimension reaches the driver."""
+    rows = (vectors.select(F.size("embedding").alias("dim"), F.posexplode("embedding").alias("i", "x"))
+            .groupBy("dim", "i").agg(F.avg("x").alias("m")).orderBy("dim", "i").collect())
+    out: dict[int, list[float]] = {}
+    for r in rows:
+        out.setdefault(r["dim"], []).append(r["m"])
+    return {d: np.array(m) for d, m in out.items()}
 
+
+def encode(vectors: DataFrame, centre: dict[int, np.ndarray], seed: int = SEED) -> DataFrame:
+    """vec_id, dim, embedding, norm, cos, code (packed bits): one row per vector."""
     def fn(batch: pa.RecordBatch):
         dim = batch.column("dim").to_numpy()
         for d in np.unique(dim):
             part = batch.filter(pa.array(dim == d))
             x = part.column("embedding").flatten().to_numpy().reshape(-1, d)
-            mean = part.column("mean")[0].as_py()
-            centred = (x - np.array(mean)) @ rotation(int(d), seed)
+            centred = (x - centre[int(d)]) @ rotation(int(d), seed)
             norm = np.sqrt((centred * centred).sum(axis=1))
-            bits = centred > 0
             cos = np.abs(centred).sum(axis=1) / np.sqrt(d) / np.where(norm > 0, norm, 1)
-            code = np.packbits(bits, axis=1)
+            code = np.packbits(centred > 0, axis=1)
             yield {"vec_id": part.column("vec_id"), "dim": part.column("dim"), "embedding": part.column("embedding"),
-                   "mean": part.column("mean"), "norm": norm, "cos": np.where(norm > 0, cos, 1.0),
+                   "norm": norm, "cos": np.where(norm > 0, cos, 1.0),
                    "code": pa.array([c.tobytes() for c in code], pa.binary())}
 
-    return map_arrow(rows, fn, "vec_id long, dim int, embedding array<double>, mean array<double>, norm double, "
-                               "cos double, code binary")
-
-
-def _search(top: int, eps: float, seed: int):
-    def fn(key, base: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        if len(base) and len(queries):
-            d = int(key[1])
-            ids = base["vec_id"].to_numpy()
-            x = np.stack(base["embedding"].to_numpy())
-            mean = np.array(base["mean"].iloc[0])
-            bits = np.unpackbits(np.frombuffer(b"".join(base["code"]), np.uint8).reshape(len(base), -1), axis=1)[:, :d]
-            signs = (bits.astype(np.float32) * 2 - 1) / np.float32(np.sqrt(d))
-            norm, cos = base["norm"].to_numpy(), base["cos"].to_numpy()
-            spread = norm * np.sqrt(np.maximum(0, 1 - cos * cos)) / cos / np.sqrt(max(d - 1, 1)) * eps
-            turn = rotation(d, seed)
-            for qid, q in zip(queries["vec_id"].to_numpy(), queries["embedding"].to_numpy()):
-                turned = q @ turn
-                est = norm / cos * (signs @ turned.astype(np.float32)) + mean @ q
-                err = spread * np.sqrt(q @ q) + 1e-5 * (np.abs(est) + 1e-9)
-                own = ids == qid
-                est[own] = -np.inf
-                n = min(top, len(ids) - int(own.sum()))
-                if n <= 0:
-                    continue
-                best = np.argpartition(-est, n - 1)[:n]
-                floor = ((x[best] * q).sum(axis=1)).min()
-                pick = np.flatnonzero((est + err >= floor) & ~own)
-                pick = np.union1d(pick, best)
-                score = (x[pick] * q).sum(axis=1)
-                order = np.lexsort((ids[pick], -score))[:n]
-                out.append(pd.DataFrame({"query_id": qid, "vec_id": ids[pick][order], "score": score[order]}))
-        if not out:
-            return pd.DataFrame({"query_id": pd.Series(dtype="int64"), "vec_id": pd.Series(dtype="int64"),
-                                 "score": pd.Series(dtype="float64")})
-        return pd.concat(out)
+    return map_arrow(vectors.withColumn("dim", F.size("embedding")), fn,
+                     "vec_id long, dim int, embedding array<double>, norm double, cos double, code binary")
+
+
+def _search(top: int, eps: float, seed: int, centre: dict[int, np.ndarray]):
+    found = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
+
+    def matrix(t: pa.Table, d: int) -> np.ndarray:
+        return t.column("embedding").combine_chunks().flatten().to_numpy().reshape(-1, d)
+
+    def fn(key, base: pa.Table, queries: pa.Table) -> pa.Table:
+        asked, near, scores = [], [], []
+        if base.num_rows and queries.num_rows:
+            d = key[1].as_py()
+            ids, x, q = base.column("vec_id").to_numpy(), matrix(base, d), matrix(queries, d)
+            packed = np.frombuffer(b"".join(base.column("code").to_pylist()), np.uint8).reshape(len(ids), -1)
+            norm, cos = base.column("norm").to_numpy(), base.column("cos").to_numpy()
+            signs = np.unpackbits(packed, axis=1)[:, :d].astype(np.float32) * 2 - 1
+            signs *= (norm / cos / np.sqrt(d)).astype(np.float32)[:, None]
+            spread = (norm * np.sqrt(np.maximum(0, 1 - cos * cos)) / cos / np.sqrt(max(d - 1, 1)) * eps).astype(np.float32)
+            turned = (q @ rotation(d, seed)).astype(np.float32)
+            shift, length = q @ centre[d], np.sqrt((q * q).sum(axis=1))
+            order = np.argsort(ids, kind="stable")
+            for s in range(0, len(q), QUERIES_AT_ONCE):
+                est = turned[s:s + QUERIES_AT_ONCE] @ signs.T
+                for e, i in zip(est, range(s, len(q))):
+                    qid = queries.column("vec_id")[i].as_py()
+                    own = order[np.searchsorted(ids, qid, "left", order): np.searchsorted(ids, qid, "right", order)]
+                    e[own] = -np.inf
+                    n = min(top, len(ids) - len(own))
+                    if n <= 0:
+                        continue
+                    best = np.argpartition(e, len(e) - n)[len(e) - n:]
+                    floor = (x[best] * q[i]).sum(axis=1).min() - shift[i]
+                    pick = np.flatnonzero(e + spread * np.float32(length[i]) >= floor - 1e-5 * (abs(floor) + 1e-9))
+                    pick = np.union1d(pick[e[pick] > -np.inf], best)
+                    score = (x[pick] * q[i]).sum(axis=1)
+                    first = np.lexsort((ids[pick], -score))[:n]
+                    asked.append(np.full(n, qid))
+                    near.append(ids[pick][first])
+                    scores.append(score[first])
+        if not asked:
+            return found.empty_table()
+        return pa.Table.from_arrays([pa.array(np.concatenate(c)) for c in (asked, near, scores)], schema=found)
     return fn
 
 
 def nearest(vectors: DataFrame, queries: DataFrame, top: int = TOP, eps: float = EPS,
             block_rows: int = BLOCK_ROWS, query_rows: int = QUERY_ROWS, seed: int = SEED) -> DataFrame:
     """query_id, rank, vec_id, score: the ``top`` rows of largest inner product per query row."""
-    coded = park(encode(_valid(vectors), seed))
+    valid = _valid(vectors)
+    centre = means(valid)
+    coded = park(encode(valid, centre, seed))
     asked = park(_valid(queries).groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
                  .withColumn("dim", F.size("embedding")))
     blocks = max(1, -(-coded.count() // block_rows))
@@ -128,8 +140,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, top: int = TOP, eps: float =
     asks = (asked.withColumn("qblock", F.expr(f"pmod(xxhash64(vec_id, 2), {query_blocks})").cast("int"))
             .withColumn("block", F.explode(F.expr(f"sequence(0, {blocks - 1})"))))
     keys = ["block", "dim", "qblock"]
-    found = base.groupBy(*keys).cogroup(asks.groupBy(*keys)).applyInPandas(
-        _search(top, eps, seed), "query_id long, vec_id long, score double")
+    found = base.groupBy(*keys).cogroup(asks.groupBy(*keys)).applyInArrow(
+        _search(top, eps, seed, centre), "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
             .select("query_id", "rank", "vec_id", "score"))
