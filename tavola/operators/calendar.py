@@ -17,6 +17,11 @@ DAYS_PER_PERIOD = 28
 DAYS_PER_WEEK = 7
 
 
+FISCAL_NAMES = ("date", "dow", "week", "period", "quarter", "year", "week_index", "period_index",
+                "week_start", "week_end", "period_start", "period_end", "quarter_start",
+                "quarter_end", "year_start", "year_end")
+
+
 def fiscal_columns(date_col, epoch: str) -> list[Column]:
     """Calendar attributes of a DATE column, relative to fiscal day 0."""
     d = as_col(date_col)
@@ -68,6 +73,17 @@ def calendar_for(df: DataFrame, date_col: str, epoch: str) -> DataFrame:
     return days.select(*fiscal_columns("d", epoch))
 
 
+def calendar_weeks(df: DataFrame, date_col: str, epoch: str) -> DataFrame:
+    """The calendar of all whole fiscal weeks that hold a date of ``df``'s span."""
+    e = F.to_date(F.lit(epoch))
+    def into_week(d):
+        return F.pmod(F.datediff(d, e), F.lit(DAYS_PER_WEEK)).cast("int")
+    span = df.agg(F.min(F.to_date(date_col)).alias("lo"), F.max(F.to_date(date_col)).alias("hi"))
+    days = span.select(F.explode(F.sequence(F.date_sub("lo", into_week(F.col("lo"))),
+                                            F.date_add("hi", 6 - into_week(F.col("hi"))))).alias("d"))
+    return days.select(*fiscal_columns("d", epoch))
+
+
 def date_series(df_or_spark, start, end) -> DataFrame:
     """DT-06: inclusive series of dates as a one-column DataFrame."""
     spark = df_or_spark if isinstance(df_or_spark, SparkSession) else df_or_spark.sparkSession
@@ -75,6 +91,11 @@ def date_series(df_or_spark, start, end) -> DataFrame:
         F.explode(F.sequence(F.to_date(F.lit(start)), F.to_date(F.lit(end)))).alias("date"))
 
 
+def fiscal_week_index(epoch: str, year: int, period: int, week: int) -> int:
+    """DT-09: index of a fiscal week since the epoch (52 weeks a year, 4 a period)."""
+    return (year - int(epoch[:4])) * 52 + (period - 1) * 4 + week - 1
+
+
 def week_end(cal: DataFrame, year: int, period: int, week: int) -> DataFrame:
     """DT-09: last day (dow = 7) of a fiscal week with its indexes."""
     return (cal.filter((F.col("year") == year) & (F.col("period") == period) &

@@ -2,7 +2,7 @@
 
 Each operator returns the *new state* of a target table from its current
 state and a batch; ``write_version`` lands that state in a new version
-directory and then moves the ``_current`` pointer, so readers never see a
+directory and then moves the ``CURRENT`` pointer, so readers never see a
 half-written table and a failed job leaves the old version in place (the
 all-or-nothing effect of the original's transactions).
 
@@ -13,6 +13,7 @@ row-by-row work and nothing collected.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -48,8 +49,12 @@ def prepare_batch(source: DataFrame, keys: Sequence[str], on_duplicate: str = "e
 
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
            update_cols: Sequence[str] | None = None, stamp_col: str | None = None,
-           stamp: Column | None = None) -> DataFrame:
-    """MRG-01 (+ MRG-10): insert new keys, update existing ones.
+           stamp: Column | None = None, on_duplicate: str = "error",
+           order: Sequence | None = None) -> DataFrame:
+    """MRG-01 (+ MRG-02, MRG-10): insert new keys, update existing ones.
+
+    A batch that repeats a key fails, or keeps its last row by ``order`` with
+    ``on_duplicate='last'``.
 
     ``update_cols=None`` replaces whole rows: target rows without a source
     key plus the source. With ``update_cols`` only those columns change on a
@@ -58,6 +63,7 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
     updated or inserted row.
     """
     keys = list(keys)
+    source = prepare_batch(source, keys, on_duplicate, order)
     if update_cols is None:
         src = _align(source, target)
         if stamp_col:
@@ -123,13 +129,16 @@ def drop_superseded_absent(target: DataFrame, source: DataFrame, part_keys: Sequ
 def replace_range(target: DataFrame, source: DataFrame, col: str, start, end,
                   allow_empty: bool = False) -> DataFrame:
     """MRG-06 / MRG-11: replace the half-open range ``[start, end)`` of ``col``
-    by the batch rows in that range; an empty batch is refused unless
-    ``allow_empty`` (so a failed download never wipes a range)."""
-    in_range = (F.col(col) >= F.lit(start)) & (F.col(col) < F.lit(end))
-    batch = source.filter(in_range)
+    by the batch. An empty batch is refused unless ``allow_empty`` (so a failed
+    download never wipes a range), and so is a batch with a row outside the
+    range: it would be inserted next to rows that nobody replaced. Target rows
+    whose ``col`` is null are outside the range and stay."""
+    in_range = F.coalesce((F.col(col) >= F.lit(start)) & (F.col(col) < F.lit(end)), F.lit(False))
     if not allow_empty:
-        require_non_empty(batch, "replacement batch")
-    return target.filter(~in_range).unionByName(_align(batch, target))
+        require_non_empty(source, "replacement batch")
+    if not source.filter(~in_range).isEmpty():
+        raise DataQualityError(f"batch has rows outside [{start}, {end}) of {col}")
+    return target.filter(~in_range).unionByName(_align(source, target))
 
 
 def replace_partitions(target: DataFrame, source: DataFrame, part_expr) -> DataFrame:
@@ -154,21 +163,31 @@ def sync(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame
 
 def apply_renames(target: DataFrame, mapping: DataFrame, col: str,
                   old: str = "old", new: str = "new") -> DataFrame:
-    """MRG-09: propagate renames (old value -> new value) into ``col``."""
+    """MRG-09: propagate renames (old value -> new value) into ``col``. A mapping
+    that gives one old value two new ones fails (it would multiply rows)."""
     m = mapping.select(F.col(old).alias("_old"), F.col(new).alias("_new")).distinct()
+    m = require_unique(m.filter(F.col("_old").isNotNull()), ["_old"])
     return (target.join(m, F.col(col) == F.col("_old"), "left")
                   .withColumn(col, F.coalesce(F.col("_new"), F.col(col)))
                   .drop("_old", "_new"))
 
 
 # -- versioned storage (MRG-11) ------------------------------------------------
+def _file_system(spark, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
 def current_version_path(spark, base: str) -> str | None:
-    """Path of the current version of a table, or None."""
-    try:
-        row = spark.read.text(f"{base}/_current").first()
-    except Exception:  # noqa: BLE001 - no table yet
+    """Path of the current version of a table, or None if the table has no
+    pointer file yet; any other failure to read it is raised."""
+    fs, pointer = _file_system(spark, f"{base}/CURRENT")
+    if not fs.exists(pointer):
         return None
-    return row[0] if row else None
+    row = spark.read.text(f"{base}/CURRENT").first()
+    if row is None:
+        raise ValueError(f"empty pointer {base}/CURRENT")
+    return row[0]
 
 
 def read_table(spark, base: str) -> DataFrame | None:
@@ -176,23 +195,42 @@ def read_table(spark, base: str) -> DataFrame | None:
     return spark.read.parquet(path) if path else None
 
 
+def _point_at(spark, base: str, path: str) -> None:
+    """Replace the pointer file in one rename, so a reader sees the old or the
+    new version and never none."""
+    jvm = spark.sparkContext._jvm
+    fs, draft = _file_system(spark, f"{base}/.current-{uuid.uuid4().hex}")
+    out = fs.create(draft, True)
+    try:
+        out.write(bytearray(path.encode()))
+    finally:
+        out.close()
+    options = jvm.org.apache.hadoop.fs.Options.Rename
+    overwrite = spark.sparkContext._gateway.new_array(options, 1)
+    overwrite[0] = options.OVERWRITE
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+        draft.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    context.rename(context.makeQualified(draft),
+                   context.makeQualified(jvm.org.apache.hadoop.fs.Path(f"{base}/CURRENT")), overwrite)
+
+
 def write_version(df: DataFrame, base: str, partition_by: Sequence[str] = ()) -> str:
-    """Write ``df`` as a new version and then point ``_current`` at it.
+    """Write ``df`` as a new version and then point ``CURRENT`` at it.
 
     The new state is fully written before the pointer moves, so a job that
-    dies mid-write leaves the previous version current; a new version never
-    overwrites the directory it was computed from.
+    dies before that leaves the previous version current. Every attempt has a
+    directory name of its own: what a dead attempt left behind is in nobody's
+    way, and a rerun starts afresh.
     """
     spark = df.sparkSession
     prev = current_version_path(spark, base)
-    n = 1 if prev is None else int(prev.rstrip("/").rsplit("v", 1)[-1]) + 1
-    path = f"{base}/v{n:06d}"
+    n = 1 if prev is None else int(prev.rstrip("/").rsplit("/v", 1)[-1].split("-")[0]) + 1
+    path = f"{base}/v{n:06d}-{uuid.uuid4().hex[:8]}"
     w = df.write.mode("errorifexists")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
-    spark.createDataFrame([(path,)], "value string").coalesce(1) \
-        .write.mode("overwrite").text(f"{base}/_current")
+    _point_at(spark, base, path)
     return path
 
 
@@ -202,5 +240,8 @@ def safe_upsert(df_target_base: str, source: DataFrame, keys: Sequence[str], **k
     if source.isEmpty():
         raise DataQualityError("empty batch")
     target = read_table(spark, df_target_base)
-    new = source if target is None else upsert(target, source, keys, **kw)
+    if target is None:
+        new = prepare_batch(source, keys, kw.get("on_duplicate", "error"), kw.get("order"))
+    else:
+        new = upsert(target, source, keys, **kw)
     return write_version(new, df_target_base)

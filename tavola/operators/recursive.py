@@ -9,8 +9,9 @@ is spread by the shuffle on (root, component). The frontier is written to
 the shared checkpoint directory after each level (``DataFrame.checkpoint``),
 which cuts the lineage and lets a lost executor recompute only one level.
 
-Cycles: a walk on a cyclic graph never empties its frontier, so the loop
-stops at ``max_depth`` and ``find_cycles`` names the offending recipes.
+Cycles: a walk on a cyclic graph never empties its frontier, so the edges that
+cannot be peeled away (``find_cycles``) are taken out first and their recipes
+are reported; chains may be of any length.
 """
 
 from __future__ import annotations
@@ -33,8 +34,8 @@ def _materialise(df: DataFrame, checkpoint: bool) -> DataFrame:
 
 
 def explode_bom(edges: DataFrame, yields: DataFrame, roots: DataFrame,
-                prep: DataFrame | None = None, max_depth: int = 64,
-                on_error: str = "raise", checkpoint: bool = True):
+                prep: DataFrame | None = None, on_error: str = "raise",
+                checkpoint: bool = True):
     """REC-01/02: explode recipes of recipes into raw ingredients.
 
     edges   (parent, child, qty, uofm)  quantities already in base units
@@ -46,8 +47,8 @@ def explode_bom(edges: DataFrame, yields: DataFrame, roots: DataFrame,
     Returns ``(leaves, errors)``: leaves (root, child, uofm, qty, depth) with
     ``qty`` summed per (root, child, uofm) and ``depth`` the deepest level the
     child was reached at; errors (root, recipe, error) rows (zero or null
-    yield, prep recipe without components, depth exceeded). With
-    ``on_error='raise'`` any error raises instead.
+    yield, prep recipe without components, recipe on a cycle or leading into
+    one). With ``on_error='raise'`` any error raises instead.
     """
     if on_error not in ("raise", "quarantine"):
         raise ValueError("on_error must be 'raise' or 'quarantine'")
@@ -58,7 +59,11 @@ def explode_bom(edges: DataFrame, yields: DataFrame, roots: DataFrame,
     missing = prep.join(parents, "recipe", "left_anti")      # prep without components
     y = yields.select(F.col("recipe").alias("node"), F.col("yield").alias("_yield"),
                       F.lit(True).alias("_has_yield"))
-    e = edges.select(F.col("parent").alias("node"), "child", F.col("qty").alias("_eqty"), "uofm")
+    prep_children = prep.withColumnRenamed("recipe", "child")
+    cyclic = find_cycles(edges.join(prep_children, "child", "left_semi"), checkpoint)
+    e = (edges.select(F.col("parent").alias("node"), "child", F.col("qty").alias("_eqty"), "uofm")
+              .join(cyclic.withColumnRenamed("recipe", "node"), "node", "left_anti"))
+    cyclic_flag = cyclic.select(F.col("recipe").alias("node"), F.lit(True).alias("_cyclic"))
 
     frontier = roots.select("root", F.col("recipe").alias("node"),
                             F.lit(1.0).alias("qty"))
@@ -66,20 +71,16 @@ def explode_bom(edges: DataFrame, yields: DataFrame, roots: DataFrame,
     leaves_parts: list[DataFrame] = []
     error_parts: list[DataFrame] = []
     depth = 0
-    while True:
-        if frontier.isEmpty():
-            break
-        if depth >= max_depth:
-            error_parts.append(frontier.select("root", F.col("node").alias("recipe"),
-                                               F.lit("depth exceeded (cycle?)").alias("error")))
-            break
+    while not frontier.isEmpty():
         depth += 1
-        withy = frontier.join(y, "node", "left")
-        bad_yield = F.col("_has_yield") & (F.col("_yield").isNull() | (F.col("_yield") == 0))
-        error_parts.append(withy.filter(F.coalesce(bad_yield, F.lit(False)))
-                           .select("root", F.col("node").alias("recipe"),
-                                   F.lit("invalid yield").alias("error")))
-        ok = withy.filter(~F.coalesce(bad_yield, F.lit(False)))
+        withy = frontier.join(y, "node", "left").join(cyclic_flag, "node", "left")
+        bad_yield = F.coalesce(F.col("_has_yield") & (F.col("_yield").isNull() | (F.col("_yield") == 0)),
+                               F.lit(False))
+        on_cycle = F.coalesce("_cyclic", F.lit(False))
+        error = F.when(on_cycle, "recipe cycle").when(bad_yield, "invalid yield")
+        error_parts.append(withy.withColumn("error", error).filter("error IS NOT NULL")
+                           .select("root", F.col("node").alias("recipe"), "error"))
+        ok = withy.filter(~bad_yield & ~on_cycle)
         step = (ok.join(e, "node")
                   .select("root", "child", "uofm",
                           (F.col("qty") * F.col("_eqty") / F.coalesce(F.col("_yield"), F.lit(1.0)))
@@ -91,8 +92,8 @@ def explode_bom(edges: DataFrame, yields: DataFrame, roots: DataFrame,
                                 .groupBy("root", "child", "uofm")
                                 .agg(F.sum("qty").alias("qty"))
                                 .withColumn("depth", F.lit(depth)))
-        frontier = (step.filter(is_prep).groupBy("root", F.col("child").alias("node"))
-                        .agg(F.sum("qty").alias("qty")))
+        frontier = _materialise(step.filter(is_prep).groupBy("root", F.col("child").alias("node"))
+                                .agg(F.sum("qty").alias("qty")), checkpoint)
 
     spark = roots.sparkSession
     if leaves_parts:
@@ -114,17 +115,17 @@ def explode_bom(edges: DataFrame, yields: DataFrame, roots: DataFrame,
     return leaves, errors
 
 
-def find_cycles(edges: DataFrame, max_rounds: int = 1000, checkpoint: bool = True) -> DataFrame:
-    """REC-02: recipes that lie on (or only lead into) a cycle.
+def find_cycles(edges: DataFrame, checkpoint: bool = True) -> DataFrame:
+    """REC-02: recipes that lie on a cycle or lead into one.
 
     Peels the graph: repeatedly remove edges whose child has no outgoing
-    edge left. What survives cannot reach a leaf, i.e. contains a cycle.
-    One anti-join per round, no path enumeration.
+    edge left, until nothing changes. What survives leads into a cycle.
+    One semi-join per round, no path enumeration.
     """
     cur = edges.select("parent", "child").distinct()
     cur = _materialise(cur, checkpoint)
     n = cur.count()
-    for _ in range(max_rounds):
+    while n:
         heads = cur.select(F.col("parent").alias("child")).distinct()
         nxt = cur.join(heads, "child", "left_semi")
         nxt = _materialise(nxt, checkpoint)
@@ -136,8 +137,7 @@ def find_cycles(edges: DataFrame, max_rounds: int = 1000, checkpoint: bool = Tru
     return cur.select(F.col("parent").alias("recipe")).distinct()
 
 
-def explode_levels(df: DataFrame, children, emit, key_cols, max_depth: int = 64,
-                   checkpoint: bool = True) -> DataFrame:
+def explode_levels(df: DataFrame, children, emit, key_cols, checkpoint: bool = True) -> DataFrame:
     """REC-03/04: unbounded-depth tree stored as nested JSON text.
 
     ``df`` has the key columns and a ``node`` column holding one JSON object
@@ -150,8 +150,6 @@ def explode_levels(df: DataFrame, children, emit, key_cols, max_depth: int = 64,
     level = _materialise(df.withColumn("level", F.lit(1)), checkpoint)
     depth = 1
     while not level.isEmpty():
-        if depth > max_depth:
-            raise RecipeError("tree deeper than max_depth")
         rows = emit(level)
         out = rows if out is None else out.unionByName(rows)
         level = _materialise(children(level).withColumn("level", F.lit(depth + 1)), checkpoint)

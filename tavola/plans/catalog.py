@@ -93,7 +93,7 @@ def _swaste_fan(m: Mart) -> DataFrame:
 from tavola.plans import cost  # noqa: E402
 
 COST_WEEK = (2000, 6, 2)      # fiscal year, period, week of the one-week job
-COST_YEARS = (2000,)          # years of the all-weeks backfill
+COST_YEARS = (2000,)          # years of the detailed backfill
 
 
 @query("latest_item_price")
@@ -108,10 +108,16 @@ def _wibc(m: Mart) -> DataFrame:
     return cost.weekly_item_base_cost(m, *COST_WEEK)
 
 
+@query("weekly_base_cost_year")
+def _wbcy(m: Mart) -> DataFrame:
+    """DOM-06 / JN-14: every week of the given years, per store and item."""
+    return cost.weekly_base_cost_all(m, COST_YEARS)
+
+
 @query("weekly_base_cost_all")
 def _wbca(m: Mart) -> DataFrame:
-    """DOM-06 / JN-14 / INC-03: every week of the given years."""
-    return cost.weekly_base_cost_all(m, COST_YEARS)
+    """DOM-06 / JN-14 / INC-03: every fiscal week of the data, per store."""
+    return cost.weekly_base_cost_by_store(m)
 
 
 # -- menu engineering ----------------------------------------------------------

@@ -10,17 +10,18 @@ full-outer join on (store, item, week).
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tavola.functions.numeric import nullif_div, unit_cost
-from tavola.operators.calendar import week_end
+from tavola.operators.calendar import FISCAL_NAMES, fiscal_columns, fiscal_week_index
 from tavola.operators.joins import (latest_as_of, latest_as_of_all, merge_with_fallback,
                                     valid_from)
 from tavola.operators.windows import top_per_group
-from tavola.sources.mart import Mart
+from tavola.sources.mart import FISCAL_EPOCH, Mart
 
 # Item categories priced from purchases.
 COSTED_CATEGORIES = ("Food", "LBW")
@@ -44,14 +45,14 @@ def latest_item_price(mart: Mart) -> DataFrame:
 
 
 def _costed_purchases(mart: Mart) -> DataFrame:
-    stores = mart.restaurants.filter(F.col("toast_id").isNotNull()).select("id")
+    stores = mart.restaurants.filter(F.col("pos_store_id").isNotNull()).select("id")
     return (mart.purchases.filter(F.col("category1").isin(*COSTED_CATEGORIES))
                 .join(stores, "id", "left_semi")
                 .withColumn("base_cost", unit_cost("amount", "quantity", "base_qty")))
 
 
 def _stock_counts(mart: Mart) -> DataFrame:
-    stores = mart.restaurants.filter(F.col("toast_id").isNotNull()).select("id")
+    stores = mart.restaurants.filter(F.col("pos_store_id").isNotNull()).select("id")
     return (mart.stock_count("Stock Count").join(stores, "id", "left_semi")
                 .withColumn("base_cost", unit_cost("amount", "quantity", "base_qty")))
 
@@ -59,11 +60,12 @@ def _stock_counts(mart: Mart) -> DataFrame:
 OUT_COLS = ["date", "item", "base_uofm", "base_cost"]
 
 
-def _finish(mart: Mart, merged: DataFrame) -> DataFrame:
-    weeks = mart.calendar.filter(F.col("dow") == 7).select(
-        "week_index", "year", "period", "week", "period_index")
-    return (merged.filter(F.col("base_uofm").isNotNull())
-                  .join(F.broadcast(weeks), "week_index")
+def _finish(merged: DataFrame) -> DataFrame:
+    """Fiscal attributes follow from the week index: its last day is day 7."""
+    last_day = F.date_add(F.to_date(F.lit(FISCAL_EPOCH)), F.col("week_index") * 7 + 6)
+    fiscal = [c for c, n in zip(fiscal_columns(last_day, FISCAL_EPOCH), FISCAL_NAMES)
+              if n in ("year", "period", "week", "period_index")]
+    return (merged.filter(F.col("base_uofm").isNotNull()).select("*", *fiscal)
                   .select("week_index", F.col("id").alias("store_id"), "item",
                           F.col("itemid").alias("item_id"), "date", "year", "period", "week",
                           "period_index", "base_uofm", F.round("base_cost", 4).alias("base_cost")))
@@ -73,12 +75,11 @@ def weekly_item_base_cost(mart: Mart, year: int, period: int, week: int) -> Data
     """DOM-06 for one fiscal week (JN-13): newest costed purchase up to the
     week's last day; when its cost is 0 or the item was never bought, the
     store's oldest stock count up to that day."""
-    # One lookup in the (bounded) calendar; the week's last day then is a
-    # literal that reaches the parquet scan as a pushed filter.
-    row = week_end(mart.calendar, year, period, week).first()
-    if row is None:
+    # The week's last day is a literal that reaches the parquet scan as a filter.
+    if not (1 <= period <= 13 and 1 <= week <= 4):
         raise ValueError(f"no fiscal week {year}/{period}/{week}")
-    end, wk = row["date"], int(row["week_index"])
+    wk = fiscal_week_index(FISCAL_EPOCH, year, period, week)
+    end = dt.date.fromisoformat(FISCAL_EPOCH) + dt.timedelta(days=wk * 7 + 6)
     p = _costed_purchases(mart)
     primary = latest_as_of(p, ["id", "itemid"], "date", F.lit(end), NEWEST, descending=True)
     sc = _stock_counts(mart)
@@ -87,19 +88,37 @@ def weekly_item_base_cost(mart: Mart, year: int, period: int, week: int) -> Data
     fallback = fallback.withColumn("week_index", F.lit(wk))
     merged = merge_with_fallback(primary, fallback, ["id", "itemid", "week_index"], OUT_COLS,
                                  use_fallback_when=F.col("p_base_cost") == 0)
-    return _finish(mart, merged)
-
-
-def weekly_base_cost_all(mart: Mart, years: Sequence[int]) -> DataFrame:
-    """DOM-06 for every week of ``years`` in one plan (JN-14, INC-03)."""
-    weeks = mart.calendar.filter(F.col("year").isin(*years) & (F.col("dow") == 7))
-    bounds = weeks.agg(F.min("week_index"), F.max("week_index")).first()
-    first, last = int(bounds[0]), int(bounds[1])
-    primary = latest_as_of_all(_costed_purchases(mart), ["id", "itemid"], "week_index",
+    return _finish(merged)
+
+
+def weekly_base_cost_all(mart: Mart, years: Sequence[int] | None = None) -> DataFrame:
+    """DOM-06 for every week of ``years`` (default: every fiscal week of the
+    data) in one plan (JN-14, INC-03). Rows after the last week are filtered
+    at the scan."""
+    if years:
+        first = fiscal_week_index(FISCAL_EPOCH, min(years), 1, 1)
+        last = fiscal_week_index(FISCAL_EPOCH, max(years), 13, 4)
+    else:
+        bounds = mart.calendar.agg(F.min("week_index"), F.max("week_index")).first()
+        if bounds[0] is None:
+            first, last = 0, -1
+        else:
+            first, last = int(bounds[0]), int(bounds[1])
+    end = dt.date.fromisoformat(FISCAL_EPOCH) + dt.timedelta(days=last * 7 + 6)
+    known = F.col("date") <= F.lit(end)
+    primary = latest_as_of_all(_costed_purchases(mart).filter(known), ["id", "itemid"], "week_index",
                                NEWEST, first, last)
-    first_count = top_per_group(_stock_counts(mart), ["id", "itemid"], NEWEST, descending=False)
+    first_count = top_per_group(_stock_counts(mart).filter(known), ["id", "itemid"], NEWEST, descending=False)
     fallback = valid_from(first_count.withColumnRenamed("week_index", "from_week"),
                           "from_week", first, last, "week_index")
     merged = merge_with_fallback(primary, fallback, ["id", "itemid", "week_index"], OUT_COLS,
                                  use_fallback_when=F.col("p_base_cost") == 0)
-    return _finish(mart, merged)
+    out = _finish(merged)
+    return out.filter(F.col("year").isin(*years)) if years else out
+
+
+def weekly_base_cost_by_store(mart: Mart) -> DataFrame:
+    """All fiscal weeks of the data, summarised per store: priced items and
+    the sum of their base costs."""
+    return (weekly_base_cost_all(mart).groupBy("week_index", "year", "period", "week", "store_id")
+            .agg(F.count("*").alias("items"), F.sum(F.col("base_cost").cast("decimal(18,4)")).cast("double").alias("base_cost")))

@@ -50,7 +50,7 @@ PART = ["location", "date"]
 
 
 def upsert_full(mart: Mart) -> DataFrame:
-    return merge.upsert(feed_target(mart), merge.prepare_batch(feed_batch(mart), KEY), KEY)
+    return merge.upsert(feed_target(mart), feed_batch(mart), KEY)
 
 
 def upsert_subset(mart: Mart) -> DataFrame:
@@ -72,8 +72,9 @@ def drop_superseded_absent(mart: Mart) -> DataFrame:
 
 
 def replace_range(mart: Mart) -> DataFrame:
-    return merge.replace_range(feed_target(mart), feed_batch(mart), "date",
-                               BATCH_START, TARGET_END)
+    """The batch is the feed's download of the range that is replaced."""
+    batch = feed_batch(mart).filter((F.col("date") >= F.lit(BATCH_START)) & (F.col("date") < F.lit(TARGET_END)))
+    return merge.replace_range(feed_target(mart), batch, "date", BATCH_START, TARGET_END)
 
 
 def replace_year(mart: Mart) -> DataFrame:

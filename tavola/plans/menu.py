@@ -92,10 +92,12 @@ def _rounded(df: DataFrame, cols: Sequence[str], n: int = 4) -> DataFrame:
 def menu_engineering(mart: Mart, date: str, year: int, period: int,
                      params: DataFrame | None = None) -> DataFrame:
     """DOM-01: per store and menu item price, cost, margin, cost %, total
-    cost and profit, with the bread-basket rows; rows with any null (e.g.
-    uncategorised items) are dropped as in the original."""
+    cost and profit, with the bread-basket rows. Missing categories become
+    "None" first, so uncategorised items stay; then rows with any null left
+    (a null price, say) are dropped, as in the original."""
     params = params if params is not None else bread_basket_params(mart.spark)
-    mix = _mix_with_cost(mart, fill_cost=True)
+    mix = _mix_with_cost(mart, fill_cost=True).fillna(
+        "None", ["category1", "category2", "category3"])
     rows = mix.unionByName(bread_basket(mart, mix, params))
     out = (add_metrics(rows)
            .withColumn("date", F.to_date(F.lit(date)))

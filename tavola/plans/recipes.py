@@ -107,11 +107,15 @@ def menu_cost_converted(mart: Mart) -> DataFrame:
     """DOM-10 / NUM-07: cost of each exploded ingredient of a menu item in
     the unit its price is quoted in: recipe quantity x conversion factor
     (from the item's weight / volume / each equivalents) x the item's
-    cheapest newest base cost over the stores."""
+    cheapest newest base cost over the stores. Cost and unit come from the
+    same store's row (ties: unit, then store); a row without cost counts
+    only where no store has one."""
     from tavola.plans.cost import latest_item_price
     flat = recipe_explosion(mart)
-    price = (latest_item_price(mart).groupBy(F.col("itemid").alias("item_id"))
-             .agg(F.min("base_cost").alias("base_cost"), F.min("base_uofm").alias("base_uofm")))
+    cheapest = F.min(F.struct(F.col("base_cost").isNull(), "base_cost", "base_uofm", "id"))
+    price = (latest_item_price(mart)
+             .groupBy(F.col("itemid").alias("item_id")).agg(cheapest.alias("p"))
+             .select("item_id", "p.base_cost", "p.base_uofm"))
     conv = mart.item_conversion.select(F.col("itemid").alias("item_id"), "weight_qty",
                                        "volume_qty", "each_qty")
     j = flat.join(price, "item_id").join(conv, "item_id")

@@ -45,8 +45,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint directory of the session.
 
     On a cluster the directory comes from ``spark.checkpoint.dir`` (a shared
-    folder). Only when nothing is configured (unit tests, a laptop) a local
-    temporary directory is created.
+    folder). Only on a local master (unit tests, a laptop) an unset directory
+    becomes a local temporary one; a cluster without the setting is refused,
+    because its executors would write where the others cannot read.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -55,6 +56,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or \
         sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="tavola-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,8 +25,9 @@ def read_report_csv(spark: SparkSession, path: str, schema: T.StructType, skip:
 
     The file is read as lines (``spark.read.text``, one line per row, big
     files split across tasks); the banner and header lines are the first
-    ``skip + 1`` lines of each file (row ids are contiguous inside a task and
-    a file's first split holds its first lines). Every field is parsed as
+    ``skip + 1`` lines of each file: lines of its first block (block start 0),
+    found by the smallest row ids there (one row per file, joined back to the
+    lines of first blocks only). Every field is parsed as
     text by ``from_csv`` and numeric fields through ``parse_money``; the row
     id is kept as ``_ord`` (arrival order). Limitation: no line breaks
     inside quoted fields.
@@ -34,11 +36,13 @@ def read_report_csv(spark: SparkSession, path: str, schema: T.StructType, skip:
     text_schema = ", ".join(f"`{n}` STRING" for n in names)
     lines = (spark.read.text(path)
              .withColumn("_file", F.col("_metadata.file_path"))
+             .withColumn("_block", F.col("_metadata.file_block_start"))
              .withColumn("_row", F.monotonically_increasing_id()))
-    # banner lines are the first ``skip`` lines of each file
-    first = lines.groupBy("_file").agg(F.min("_row").alias("_start"))
-    body = (lines.join(first, "_file")
-                 .filter(F.col("_row") >= F.col("_start") + skip + 1)
+    head = lines.filter("_block = 0")
+    first = head.groupBy("_file").agg(F.min("_row").alias("_start"))
+    body = (lines.filter("_block > 0").select("value", "_row")
+                 .unionByName(head.join(first, "_file").filter(F.col("_row") > F.col("_start") + skip)
+                                  .select("value", "_row"))
                  .filter(F.trim("value") != ""))
     parsed = body.select(F.from_csv("value", text_schema).alias("r"), "_row").select("r.*", "_row")
     out = []
@@ -71,16 +75,32 @@ def with_file_attribute(df: DataFrame, mapping: DataFrame, file_col: str = "file
 
 def read_json_pages(spark: SparkSession, path: str, record_schema: T.StructType,
                     collection_key: str = "value") -> DataFrame:
-    """SRC-05/06/08: landed API pages (one JSON document per file or line);
-    the records sit under ``collection_key`` as a list - or as a single
-    object, which yields one record. Pages are read in parallel and
-    concatenated by the scan itself (no page loop)."""
-    raw = spark.read.text(path, wholetext=True)
-    recs = F.get_json_object("value", f"$.{collection_key}")
-    items = raw.select(F.explode(as_array(recs)).alias("rec"))
+    """SRC-05/06/08: landed API pages (one JSON document per file, or one per
+    line of it); the records sit under ``collection_key`` as a list - or as a
+    single object, which yields one record. Pages are read in parallel and
+    concatenated by the scan itself (no page loop). ``broken_json_pages`` reports
+    the documents that hold no records."""
+    items = _page_documents(spark, path).select(
+        F.explode(as_array(F.get_json_object("value", f"$.{collection_key}"))).alias("rec"))
     return items.select(F.from_json("rec", record_schema).alias("r")).select("r.*")
 
 
+def _page_documents(spark: SparkSession, path: str) -> DataFrame:
+    """The JSON documents of page files: the file, or its lines where every
+    line that is not blank is a document of its own."""
+    raw = spark.read.text(path, wholetext=True).withColumn("file", F.col("_metadata.file_path"))
+    lines = F.filter(F.split("value", "\r?\n"), lambda x: F.trim(x) != "")
+    own = F.forall(lines, lambda x: F.get_json_object(x, "$").isNotNull())
+    return raw.select("file", F.explode(F.when((F.size(lines) > 1) & own, lines)
+                                         .otherwise(F.array("value"))).alias("value"))
+
+
+def broken_json_pages(spark: SparkSession, path: str, collection_key: str = "value") -> DataFrame:
+    """DQ: file and text of page documents that are no JSON or lack the key."""
+    return _page_documents(spark, path).filter(
+        F.get_json_object("value", f"$.{collection_key}").isNull())
+
+
 def unwrap_records(df: DataFrame, json_col: str, record_schema: T.StructType) -> DataFrame:
     """SRC-07: a document is either a list of records, an object whose first
     list-valued field holds the records, or a single record."""
@@ -98,11 +118,12 @@ def unwrap_records(df: DataFrame, json_col: str, record_schema: T.StructType) ->
 
 def read_lines(spark: SparkSession, path: str, col: str = "name") -> DataFrame:
     """SRC-11: a list file - stripped lines, blanks dropped; a missing file
-    gives an empty list."""
+    gives an empty list (any other failure is raised)."""
     try:
         df = spark.read.text(path)
-        df.schema  # noqa: B018 - resolve the path now
-    except Exception:  # noqa: BLE001 - missing file means an empty list
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], f"{col} string")
     return df.select(F.trim("value").alias(col)).filter(F.col(col) != "")
 

@@ -11,8 +11,9 @@ Size notes for a large cluster:
   * ``restaurants`` (supplier) and ``item`` (part) grow with the data, so they
     are *not* hinted for broadcast; Spark broadcasts them when its size
     estimate (and AQE's runtime size) is under the broadcast threshold.
-  * ``units``, ``glaccount`` and ``calendar`` have a fixed bound (6 rows,
-    3 rows, one row per day of the covered span) and are broadcast.
+  * ``units`` and ``glaccount`` have a fixed bound (6 rows, 3 rows) and are
+    broadcast. Fiscal attributes are computed from each row's date, so no
+    calendar bounds the facts; ``calendar`` itself spans the order dates.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tavola.functions.util import case_map
-from tavola.operators.calendar import fiscal_calendar
+from tavola.operators.calendar import FISCAL_NAMES, calendar_weeks, fiscal_columns
 
 # ---------------------------------------------------------------------------
 # The mapping of the test tables onto the mart.
@@ -56,7 +57,6 @@ MENU_CATEGORY1 = {0: "Food", 1: "Food", 2: "Beverage"}
 CONCEPTS = ("Casual", "Steakhouse")       # even / odd store id
 TIMEZONE = "America/New_York"
 FISCAL_EPOCH = "1995-01-01"               # day 0 of the fiscal calendar
-CALENDAR_DAYS = 10957                     # 30 years of days
 # ---------------------------------------------------------------------------
 
 UNIT_SCHEMA = T.StructType([
@@ -93,7 +93,7 @@ class Mart:
 
     @cached_property
     def calendar(self) -> DataFrame:
-        return fiscal_calendar(self.spark, FISCAL_EPOCH, CALENDAR_DAYS)
+        return calendar_weeks(self.raw("orders"), "o_orderdate", FISCAL_EPOCH)
 
     # -- dimensions that grow with the data ----------------------------------
     @cached_property
@@ -106,7 +106,7 @@ class Mart:
             F.col("s_name").alias("name"),
             F.when(s % 2 == 0, F.lit(CONCEPTS[0])).otherwise(F.lit(CONCEPTS[1])).alias("concept"),
             F.lit(TIMEZONE).alias("timezone"),
-            F.when(~hidden, F.concat(F.lit("T"), s.cast("string"))).alias("toast_id"),
+            F.when(~hidden, F.concat(F.lit("T"), s.cast("string"))).alias("pos_store_id"),
             F.when(~hidden, F.concat(F.lit("store"), s.cast("string"), F.lit("@example.com"))).alias("email"),
         )
 
@@ -166,21 +166,22 @@ class Mart:
         )
 
     def detail_rows(self, *types: str) -> DataFrame:
-        """Transaction lines of the given types joined to store, item,
-        calendar, unit and account - the common body of ``purchases`` and
-        ``stock_count``."""
+        """Transaction lines of the given types joined to store, item, unit
+        and account, with fiscal attributes of their date - the common body of
+        ``purchases`` and ``stock_count``."""
         td = self.transaction_detail
         t = self.transaction(*types)
         r = self.restaurants.select(F.col("id"), F.col("locationid"), F.col("name").alias("store"))
         i = self.item.select("itemid", F.col("name").alias("item"), "category1", "category2")
-        cal = self.calendar.select("date", "dow", "week", "period", "year", "week_index", "period_index")
+        fiscal = [c for c, n in zip(fiscal_columns("date", FISCAL_EPOCH), FISCAL_NAMES)
+                  if n in ("dow", "week", "period", "year", "week_index", "period_index")]
         um = self.units.select(F.col("name").alias("unitofmeasurename"), "base_uofm", "base_qty")
         gl = self.glaccount.select("glaccountid", F.col("name").alias("account"))
         return (td.join(t, "transactionid")
                   .join(r, "locationid")
                   .join(i, "itemid")
                   .withColumn("date", F.to_date("date"))
-                  .join(F.broadcast(cal), "date")
+                  .select("*", *fiscal)
                   .join(F.broadcast(um), "unitofmeasurename", "left")
                   .join(F.broadcast(gl), "glaccountid", "left")
                   .withColumnRenamed("unitofmeasurename", "uofm"))

@@ -24,16 +24,21 @@ def apply_batch(spark: SparkSession, table: str, batch: DataFrame, keys: Sequenc
     """One idempotent step: supersede, upsert, write a new version."""
     if batch.isEmpty():
         return
-    target = merge.read_table(spark, table)
-    if target is None:
-        new = batch
-    else:
-        if part_keys and version:
-            target = merge.drop_superseded_absent(target, batch, part_keys, version)
-        new = merge.upsert(target, merge.prepare_batch(batch, keys), keys)
-    # Materialise in the shared checkpoint folder before the pointer moves:
-    # the new state must not depend on the version directory it replaces.
-    merge.write_version(new.checkpoint(eager=True), table)
+    # The batch is used several times (checks, supersede, upsert): it is read
+    # from its files once. Versions are never overwritten, so the new state can
+    # be computed from the current one and written straight away.
+    batch = batch.persist()
+    try:
+        target = merge.read_table(spark, table)
+        if target is None:
+            new = merge.prepare_batch(batch, keys)
+        else:
+            if part_keys and version:
+                target = merge.drop_superseded_absent(target, batch, part_keys, version)
+            new = merge.upsert(target, batch, keys)
+        merge.write_version(new, table)
+    finally:
+        batch.unpersist()
 
 
 def incremental_upsert(spark: SparkSession, landing: str, schema: T.StructType, table: str,

@@ -22,7 +22,8 @@ from tavola_oracle import cost_sql as C  # noqa: E402
 ORACLE.update({
     "latest_item_price": C.latest_item_price(),
     "weekly_item_base_cost": C.weekly_item_base_cost(2000, 6, 2),
-    "weekly_base_cost_all": C.weekly_base_cost_all((2000,)),
+    "weekly_base_cost_year": C.weekly_base_cost_year((2000,)),
+    "weekly_base_cost_all": C.weekly_base_cost_all(),
 })
 
 from tavola_oracle import menu_sql as M  # noqa: E402

@@ -27,7 +27,7 @@ def _weekly(week_filter: str) -> str:
     return ctes("purchases", "stock_count", "restaurants", "calendar") + f"""
     , weeks AS (SELECT week_index, date AS week_end, year, period, week, period_index
                 FROM calendar WHERE dow = 7 AND {week_filter})
-    , stores AS (SELECT id FROM restaurants WHERE toast_id IS NOT NULL)
+    , stores AS (SELECT id FROM restaurants WHERE pos_store_id IS NOT NULL)
     , p AS (SELECT *, {_unit_cost('amount', 'quantity', 'base_qty')} AS base_cost FROM purchases
             WHERE category1 IN ('Food', 'LBW') AND id IN (SELECT id FROM stores))
     , sc AS (SELECT *, {_unit_cost('amount', 'quantity', 'base_qty')} AS base_cost FROM stock_count
@@ -63,5 +63,11 @@ def weekly_item_base_cost(year: int, period: int, week: int) -> str:
     return _weekly(f"year = {year} AND period = {period} AND week = {week}")
 
 
-def weekly_base_cost_all(years) -> str:
+def weekly_base_cost_year(years) -> str:
     return _weekly(f"year IN ({', '.join(str(y) for y in years)})")
+
+
+def weekly_base_cost_all() -> str:
+    return f"""SELECT week_index, year, period, week, store_id, count(*) AS items,
+           CAST(sum(CAST(base_cost AS DECIMAL(18, 4))) AS DOUBLE) AS base_cost
+    FROM ({_weekly('true')}) q GROUP BY week_index, year, period, week, store_id"""

@@ -40,20 +40,23 @@ _DEFS: dict[str, tuple[tuple[str, ...], str]] = {
     "glaccount": ((), """
         SELECT * FROM (VALUES ('R', 'Beer'), ('A', 'Liquor'), ('N', 'Wine')) AS g(glaccountid, name)"""),
     "calendar": ((), """
-        SELECT d AS date,
-               CAST(n % 7 + 1 AS INTEGER) AS dow,
-               CAST((n % 28) // 7 + 1 AS INTEGER) AS week,
-               CAST((n % 364) // 28 + 1 AS INTEGER) AS period,
-               CAST(1995 + n // 364 AS INTEGER) AS year,
-               CAST(n // 7 AS INTEGER) AS week_index,
-               CAST(n // 28 AS INTEGER) AS period_index
-        FROM (SELECT n, CAST(DATE '1995-01-01' + CAST(n AS INTEGER) AS DATE) AS d
-              FROM range(0, 10957) AS r(n))"""),
+        SELECT CAST(DATE '1995-01-01' + CAST(n AS INTEGER) AS DATE) AS date,
+               CAST(n - 7 * wk + 1 AS INTEGER) AS dow,
+               CAST(wk - 4 * pd + 1 AS INTEGER) AS week,
+               CAST(pd - 13 * yr + 1 AS INTEGER) AS period,
+               CAST(1995 + yr AS INTEGER) AS year,
+               CAST(wk AS INTEGER) AS week_index,
+               CAST(pd AS INTEGER) AS period_index
+        FROM (SELECT n, floor(n / 7.0) AS wk, floor(n / 28.0) AS pd, floor(n / 364.0) AS yr
+              FROM (SELECT unnest(range(7 * floor(lo / 7.0)::BIGINT, 7 * floor(hi / 7.0)::BIGINT + 7)) AS n
+                    FROM (SELECT min(datediff('day', DATE '1995-01-01', CAST(o_orderdate AS DATE))) AS lo,
+                                 max(datediff('day', DATE '1995-01-01', CAST(o_orderdate AS DATE))) AS hi
+                          FROM orders)))"""),
     "restaurants": ((), """
         SELECT s_suppkey AS id, s_suppkey AS locationid, s_name AS name,
                CASE WHEN s_suppkey % 2 = 0 THEN 'Casual' ELSE 'Steakhouse' END AS concept,
                'America/New_York' AS timezone,
-               CASE WHEN s_suppkey % 10 = 9 THEN NULL ELSE 'T' || CAST(s_suppkey AS VARCHAR) END AS toast_id
+               CASE WHEN s_suppkey % 10 = 9 THEN NULL ELSE 'T' || CAST(s_suppkey AS VARCHAR) END AS pos_store_id
         FROM supplier"""),
     "item": ((), """
         SELECT p_partkey AS itemid, p_name || ' ' || CAST(p_partkey AS VARCHAR) AS name,

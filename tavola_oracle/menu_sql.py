@@ -35,7 +35,8 @@ def menu_engineering(date: str, year: int, period: int) -> str:
                            ["location", "store_id", "concept", "menu_item", *MEASURES,
                             "category1", "category2", "category3"])
     return ctes("product_mix", "menu_cost", "restaurants", "item", extra={
-        "mix": _mix(True),
+        "mix": "SELECT * REPLACE (COALESCE(category1, 'None') AS category1, COALESCE(category2, 'None') AS category2, "
+               "COALESCE(category3, 'None') AS category3) FROM (" + _mix(True) + ")",
         "params": "SELECT * FROM (VALUES (4, 0.19), (9, 0.19), (11, 0.84), (15, 0.96), (16, 0.69), "
                   "(17, 0.84)) AS p(store_id, default_cost)",
         "entrees": "SELECT store_id, sum(quantity) AS entrees FROM mix WHERE category2 = 'Entree' GROUP BY 1",

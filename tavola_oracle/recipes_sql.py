@@ -73,9 +73,11 @@ def menu_cost_converted() -> str:
     return ctes("units", "item", "purchases", "item_conversion", extra={
         **GRAPH, **WALK,
         "lp": f"SELECT *, row_number() OVER (PARTITION BY id, item ORDER BY {NEWEST_DESC}) AS rn FROM purchases",
-        "price": f"""SELECT itemid AS item_id, min({R('amount / quantity / NULLIF(base_qty, 0)', 4)}) AS base_cost,
-                            min(base_uofm) AS base_uofm
-                     FROM lp WHERE rn = 1 AND quantity <> 0 AND base_uofm IS NOT NULL GROUP BY 1""",
+        "quoted": f"""SELECT itemid AS item_id, id, base_uofm,
+                             {R('amount / quantity / NULLIF(base_qty, 0)', 4)} AS base_cost
+                      FROM lp WHERE rn = 1 AND quantity <> 0 AND base_uofm IS NOT NULL""",
+        "price": """SELECT DISTINCT ON (item_id) item_id, base_cost, base_uofm
+                    FROM quoted ORDER BY item_id, base_cost ASC NULLS LAST, base_uofm, id""",
     }, recursive=True) + f"""
     SELECT f.menu_item_id, f.item_id, f.uofm, p.base_uofm, f.qty, {R(factor, 6)} AS factor,
            {known} AS known_pair, {R(f'f.qty * ({factor}) * p.base_cost', 4)} AS cost

@@ -129,10 +129,64 @@ def test_explode_bom_errors(spark):
         explode_bom(e, y, roots)
     ce, cy = _bom(spark, [("A", "B", 1.0, "Each"), ("B", "A", 1.0, "Each"), ("B", "c", 1.0, "Each")], [])
     croots = spark.createDataFrame([("A", "A")], "root string, recipe string")
-    _, errs = explode_bom(ce, cy, croots, max_depth=8, on_error="quarantine")
-    assert [r.error for r in errs.collect()] == ["depth exceeded (cycle?)"]
+    leaves, errs = explode_bom(ce, cy, croots, on_error="quarantine")
+    assert [r.error for r in errs.collect()] == ["recipe cycle"] and leaves.count() == 0
     assert rows(find_cycles(ce), "recipe") == [("A",), ("B",)]
     prep = spark.createDataFrame([("P",), ("Z",)], "recipe string")
     _, errs2 = explode_bom(e, spark.createDataFrame([], "recipe string, yield double"), roots,
                            prep=prep, on_error="quarantine")
     assert ("Z", "prep recipe without components") in rows(errs2, "recipe", "error")
+
+
+def test_long_recipe_chain(spark):
+    e, y = _bom(spark, [(f"r{i}", f"r{i + 1}", 2.0, "Each") for i in range(70)], [])
+    roots = spark.createDataFrame([("M", "r0")], "root string, recipe string")
+    leaves, errors = explode_bom(e, y, roots)
+    assert rows(leaves, "child", "qty", "depth") == [("r70", 2.0 ** 70, 70)] and errors.count() == 0
+    assert find_cycles(e).count() == 0
+
+
+def test_fiscal_columns_have_no_bounds(spark):
+    import datetime as dt
+    from tavola.operators.calendar import fiscal_columns, fiscal_week_index
+    days = spark.createDataFrame([(dt.date(1994, 12, 31),), (dt.date(1995, 1, 1),), (dt.date(2025, 1, 2),)], "d date")
+    got = {r["date"].isoformat(): (r.year, r.period, r.week, r.dow, r.week_index) for r in
+           days.select(*fiscal_columns("d", "1995-01-01")).collect()}
+    assert got["1994-12-31"] == (1994, 13, 4, 7, -1) and got["1995-01-01"] == (1995, 1, 1, 1, 0)
+    y, p, w, _, index = got["2025-01-02"]
+    assert fiscal_week_index("1995-01-01", y, p, w) == index == 10959 // 7
+
+
+def test_duplicate_batches_and_mappings_fail(spark):
+    from tavola.operators import merge
+    from tavola.operators.quality import DataQualityError
+    t = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    twice = spark.createDataFrame([(1, "x"), (1, "y")], "k int, v string")
+    for cols in (None, ["v"]):
+        with pytest.raises(DataQualityError):
+            merge.upsert(t, twice, ["k"], update_cols=cols)
+        assert rows(merge.upsert(t, twice, ["k"], update_cols=cols, on_duplicate="last", order=["v"]), "k", "v") == \
+            [(1, "y"), (2, "b")]
+    with pytest.raises(DataQualityError):
+        merge.apply_renames(t, spark.createDataFrame([("a", "x"), ("a", "y")], "old string, new string"), "v")
+    with pytest.raises(DataQualityError):
+        merge.replace_range(t, spark.createDataFrame([(7, "z")], "k int, v string"), "k", 1, 3)
+
+
+def test_version_survives_a_dead_attempt(spark, tmp, monkeypatch):
+    from tavola.operators import merge
+    base = f"{tmp}/t"
+    one = spark.createDataFrame([(1, "a")], "k int, v string")
+    merge.safe_upsert(base, one, ["k"])
+    point = merge._point_at
+    def die(*_):
+        raise OSError("killed between write and pointer")
+    monkeypatch.setattr(merge, "_point_at", die)
+    two = spark.createDataFrame([(2, "b")], "k int, v string")
+    with pytest.raises(OSError):
+        merge.safe_upsert(base, two, ["k"])
+    assert rows(merge.read_table(spark, base), "k", "v") == [(1, "a")]
+    monkeypatch.setattr(merge, "_point_at", point)
+    merge.safe_upsert(base, two, ["k"])
+    assert rows(merge.read_table(spark, base), "k", "v") == [(1, "a"), (2, "b")]
+    assert merge.read_table(spark, f"{tmp}/none") is None

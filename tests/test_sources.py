@@ -99,3 +99,15 @@ def test_read_csv_many_files_with_file_attribute(spark, tmp):
     mapping = spark.createDataFrame([("store_a.csv", "A"), ("store_b.csv", "B")], "file_name string, location string")
     got = sorted((r.location, r.Amount) for r in files.with_file_attribute(df, mapping).collect())
     assert got == [("A", 1.5), ("B", 2.5)]
+
+
+def test_json_pages_one_document_per_line(spark, tmp):
+    import pathlib
+    from pyspark.sql import types as T
+    from tavola.sources.files import broken_json_pages, read_json_pages
+    pathlib.Path(tmp, "a.json").write_text('{"value": [{"id": 1}, {"id": 2}]}\n{"value": {"id": 3}}\n')
+    pathlib.Path(tmp, "b.json").write_text('{\n "value": [\n {"id": 4}\n ]\n}\n')
+    pathlib.Path(tmp, "c.json").write_text('{"other": 1}')
+    schema = T.StructType([T.StructField("id", T.LongType())])
+    assert sorted(r.id for r in read_json_pages(spark, tmp, schema).collect()) == [1, 2, 3, 4]
+    assert [r.file[-6:] for r in broken_json_pages(spark, tmp).collect()] == ["c.json"]
