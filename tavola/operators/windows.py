@@ -51,9 +51,9 @@ def first_in_group(df: DataFrame, keys: Sequence[str], order: Sequence,
                    cols: Sequence[str], suffix: str = "_first") -> DataFrame:
     """WIN-03: attach the values of the first row (by ``order``) of each group
     to every row of the group."""
-    first = top_per_group(df.select(*keys, *[as_col(o) for o in order if isinstance(o, str)], *cols)
-                          if all(isinstance(o, str) for o in order) else df,
-                          keys, order, descending=False)
+    used = [*keys, *[o for o in order if isinstance(o, str)], *cols]
+    narrow = df.select(*dict.fromkeys(used)) if all(isinstance(o, str) for o in order) else df
+    first = top_per_group(narrow, keys, order, descending=False)
     first = first.select(*keys, *[F.col(c).alias(c + suffix) for c in cols])
     return df.join(first, list(keys), "left")
 

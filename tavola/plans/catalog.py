@@ -89,6 +89,22 @@ def _swaste_fan(m: Mart) -> DataFrame:
     return views.stockcount_waste(m, fanout=True)
 
 
+# -- theoretical usage --------------------------------------------------------
+from tavola.plans import sales  # noqa: E402
+
+
+@query("theoretical_usage")
+def _use(m: Mart) -> DataFrame:
+    """VW-06 / REC-05 / JN-07 / JN-08 / FLT-08: ingredients used by the sales of a month."""
+    return sales.stockcount_sales(m, AS_OF)
+
+
+@query("theoretical_usage_single_concept")
+def _use1(m: Mart) -> DataFrame:
+    """VW-07 / JN-15: the same with one concept per menu item."""
+    return sales.stockcount_sales_single_concept(m, AS_OF)
+
+
 # -- cost jobs ----------------------------------------------------------------
 from tavola.plans import cost  # noqa: E402
 
@@ -231,3 +247,19 @@ def _pay(m: Mart) -> DataFrame:
 def _pmix(m: Mart) -> DataFrame:
     """DOM-11 / NST-03..05 / REC-03 / AGG-15/16: product mix from orders."""
     return pos.product_mix(m)
+
+
+# -- reports and dimension jobs --------------------------------------------------
+from tavola.plans import reports  # noqa: E402
+
+for _name, _fn, _doc in [
+    ("receiving_vendor", lambda m: reports.receiving_spend(m, "VendorName"), "DOM-15 / AGG-10: spend by vendor."),
+    ("receiving_location", lambda m: reports.receiving_spend(m, "LocationName"), "DOM-15 / AGG-10: spend by store."),
+    ("stock_category_margins", lambda m: reports.category_margins(m, 2, 6, 2000), "DOM-24 / AGG-09: sheets with a margin row."),
+    ("recipe_cost_snapshot", lambda m: reports.recipe_cost(m, AS_OF), "DOM-09 / JN-06 / DT-08: recipe cost per store."),
+    ("menu_items", reports.menu_items, "DOM-13 / PRJ-08: menu item dimension."),
+    ("unmapped_items", lambda m: reports.unmapped_items(m, menu.specialty_items(m)), "DOM-14 / DQ-07: items without a category."),
+    ("item_conversion_sync", reports.item_conversion, "DOM-21: conversion dimension, synchronised."),
+    ("holidays", reports.holidays, "DOM-18: holidays replaced by year."),
+]:
+    query(_name)(_fn)

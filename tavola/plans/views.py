@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tavola.functions.dates import since
 from tavola.functions.numeric import nullif_div
 from tavola.operators.windows import top_per_group
+from tavola.plans import sales
 from tavola.sources.mart import Mart
 
 # Protein categories of the conversion view.
@@ -89,7 +90,8 @@ def stockcount_monthly(mart: Mart, as_of: str, days: int = 30) -> DataFrame:
     grid = mart.inv_items.select(
         F.explode(F.sequence(start, F.to_date(F.lit(as_of)))).alias("date"),
         F.col("id").alias("item_id"), "item_name", "store_id")
-    counts = mart.inv_count.withColumnRenamed("trans_date", "date")
+    counts = (mart.inv_count.withColumnRenamed("trans_date", "date")
+              .filter(F.col("date").between(start, F.to_date(F.lit(as_of)))))
     return (grid.join(counts, ["item_id", "store_id", "date"], "left")
                 .select("date", "item_id", "item_name", "store_id",
                         F.round(F.coalesce(F.col("count_total"), F.lit(0.0)), 4).alias("count_total")))
@@ -124,14 +126,13 @@ def stockcount_waste(mart: Mart, fanout: bool = False) -> DataFrame:
     reproduces that, the default counts each waste line once.
     """
     sc = mart.stock_count("Waste Log").filter(F.col("base_uofm").isNotNull())
-    tracked = mart.inv_items.select(F.col("item_name").alias("item"))
-    if fanout:
-        sc = sc.join(tracked, "item")
-    else:
-        sc = sc.join(tracked.distinct(), "item", "left_semi")
+    tracked = mart.inv_items.groupBy(F.col("item_name").alias("item")).agg(F.count("*").alias("_listed"))
+    # summed first, then multiplied by the number of listings: no row is copied
+    times = F.col("_listed") if fanout else F.lit(1)
     return (sc.groupBy("date", "dow", "week", "period", "year", F.col("id").alias("store_id"),
                        "store", "item", "uofm", "base_qty", "base_uofm")
               .agg(F.sum("quantity").alias("quantity"))
+              .join(tracked, "item").withColumn("quantity", F.col("quantity") * times)
               .select("date", "dow", "week", "period", "year", "store_id", "store", "item", "uofm",
                       F.round("quantity", 4).alias("quantity"), "base_uofm",
                       F.round(F.col("quantity") * F.col("base_qty"), 4).alias("base_qty")))
@@ -147,3 +148,5 @@ def register_views(mart: Mart, as_of: str) -> None:
     stockcount_monthly(mart, as_of).createOrReplaceTempView("stockcount_monthly")
     stockcount_purchases(mart, as_of).createOrReplaceTempView("stockcount_purchases")
     stockcount_waste(mart).createOrReplaceTempView("stockcount_waste")
+    sales.stockcount_sales(mart, as_of).createOrReplaceTempView("stockcount_sales")
+    sales.stockcount_sales_single_concept(mart, as_of).createOrReplaceTempView("stockcount_sales_pos")

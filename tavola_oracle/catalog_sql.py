@@ -17,6 +17,13 @@ ORACLE: dict[str, str] = {
     "stock_waste_fanout": stable(V.stockcount_waste(fanout=True), "date"),
 }
 
+from tavola_oracle import sales_sql as S  # noqa: E402
+
+ORACLE.update({
+    "theoretical_usage": S.stockcount_sales(V.AS_OF),
+    "theoretical_usage_single_concept": S.stockcount_sales_single_concept(V.AS_OF),
+})
+
 from tavola_oracle import cost_sql as C  # noqa: E402
 
 ORACLE.update({
@@ -81,3 +88,16 @@ ORACLE.update({
     "payment_summary": P.payment_summary(),
     "product_mix_nested": P.product_mix(),
 })
+
+from tavola_oracle import reports_sql as RP  # noqa: E402
+
+ORACLE.update({
+    "receiving_vendor": RP.receiving("VendorName"),
+    "receiving_location": RP.receiving("LocationName"),
+    "stock_category_margins": RP.category_margins(2, 6, 2000),
+    "recipe_cost_snapshot": RP.recipe_cost(V.AS_OF),
+    "menu_items": RP.menu_items(),
+    "unmapped_items": RP.unmapped_items(),
+    "item_conversion_sync": RP.item_conversion(),
+    "holidays": RP.holidays(),
+})
