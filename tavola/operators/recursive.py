@@ -26,7 +26,7 @@ class RecipeError(ValueError):
     pass
 
 
-def _materialise(df: DataFrame, checkpoint: bool) -> DataFrame:
+def materialise(df: DataFrame, checkpoint: bool) -> DataFrame:
     if not checkpoint:
         return df
     ensure_checkpoint_dir(df.sparkSession)
@@ -67,7 +67,7 @@ def explode_bom(edges: DataFrame, yields: DataFrame, roots: DataFrame,
 
     frontier = roots.select("root", F.col("recipe").alias("node"),
                             F.lit(1.0).alias("qty"))
-    frontier = _materialise(frontier, checkpoint)
+    frontier = materialise(frontier, checkpoint)
     leaves_parts: list[DataFrame] = []
     error_parts: list[DataFrame] = []
     depth = 0
@@ -86,13 +86,13 @@ def explode_bom(edges: DataFrame, yields: DataFrame, roots: DataFrame,
                           (F.col("qty") * F.col("_eqty") / F.coalesce(F.col("_yield"), F.lit(1.0)))
                           .alias("qty"))
                   .join(prep_flag, "child", "left"))
-        step = _materialise(step, checkpoint)
+        step = materialise(step, checkpoint)
         is_prep = F.coalesce(F.col("_is_prep"), F.lit(False))
         leaves_parts.append(step.filter(~is_prep)
                                 .groupBy("root", "child", "uofm")
                                 .agg(F.sum("qty").alias("qty"))
                                 .withColumn("depth", F.lit(depth)))
-        frontier = _materialise(step.filter(is_prep).groupBy("root", F.col("child").alias("node"))
+        frontier = materialise(step.filter(is_prep).groupBy("root", F.col("child").alias("node"))
                                 .agg(F.sum("qty").alias("qty")), checkpoint)
 
     spark = roots.sparkSession
@@ -123,12 +123,12 @@ def find_cycles(edges: DataFrame, checkpoint: bool = True) -> DataFrame:
     One semi-join per round, no path enumeration.
     """
     cur = edges.select("parent", "child").distinct()
-    cur = _materialise(cur, checkpoint)
+    cur = materialise(cur, checkpoint)
     n = cur.count()
     while n:
         heads = cur.select(F.col("parent").alias("child")).distinct()
         nxt = cur.join(heads, "child", "left_semi")
-        nxt = _materialise(nxt, checkpoint)
+        nxt = materialise(nxt, checkpoint)
         m = nxt.count()
         cur = nxt
         if m == n:
@@ -147,12 +147,12 @@ def explode_levels(df: DataFrame, children, emit, key_cols, checkpoint: bool = T
     ``explode`` - no per-row Python.
     """
     out: DataFrame | None = None
-    level = _materialise(df.withColumn("level", F.lit(1)), checkpoint)
+    level = materialise(df.withColumn("level", F.lit(1)), checkpoint)
     depth = 1
     while not level.isEmpty():
         rows = emit(level)
         out = rows if out is None else out.unionByName(rows)
-        level = _materialise(children(level).withColumn("level", F.lit(depth + 1)), checkpoint)
+        level = materialise(children(level).withColumn("level", F.lit(depth + 1)), checkpoint)
         depth += 1
     if out is None:
         out = emit(level)

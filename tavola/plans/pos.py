@@ -6,7 +6,9 @@ an event is a check selection of menu item ``k`` (``props.k``) priced at
 ``value``; errors are voided, sign-ups carry no item, every fifth item is
 rung with quantity 0, purchases carry a 10 % discount; items with ``k``
 divisible by 3 have a size modifier (with a nested "Extra" modifier), which
-replaces the price when ``k`` is even.
+replaces the price when ``k`` is even, and every third of these a second
+modifier "Side"; every seventh item is rung again, twice, on a second check of
+the order; every nineteenth is an allergy note and no item.
 """
 
 from __future__ import annotations
@@ -18,8 +20,9 @@ from pyspark.sql import types as T
 from tavola.functions.dates import yyyymmdd_to_date
 from tavola.functions.nested import flatten, json_array_elements
 from tavola.operators.aggregates import any_element, sum_array
-from tavola.operators.filters import not_in
-from tavola.operators.recursive import explode_levels
+from tavola.operators.filters import not_in, remove_special
+from tavola.operators.recursive import explode_levels, materialise
+from tavola.operators.windows import dedup
 from tavola.sources.mart import Mart
 
 # Card entry modes; the six the payment report leaves out.
@@ -104,11 +107,19 @@ def _selection(e) -> F.Column:
          .alias("optionGroupPricingMode"),
         F.array().cast("array<struct<discountAmount:double>>").alias("appliedDiscounts"),
         F.array(nested).alias("modifiers"))
+    side = F.struct(
+        F.lit("Side").alias("displayName"),
+        F.struct(F.concat(F.lit("s"), k.cast("string")).alias("guid")).alias("item"),
+        F.lit(1).alias("quantity"), F.lit(0.25).alias("receiptLinePrice"), F.lit(0.25).alias("preDiscountPrice"),
+        F.lit(0.25).alias("price"), F.lit("ADJUSTS_PRICE").alias("optionGroupPricingMode"),
+        F.array().cast("array<struct<discountAmount:double>>").alias("appliedDiscounts"),
+        F.filter(F.array(nested), lambda _: F.lit(False)).alias("modifiers"))
     discounts = F.when(F.col("event_type") == "purchase",
                        F.array(F.struct(F.round(F.col("value") * 0.1, 2).alias("discountAmount")))) \
                  .otherwise(F.array().cast("array<struct<discountAmount:double>>"))
     return F.struct(
-        F.concat(F.lit("Item "), k.cast("string")).alias("displayName"),
+        F.concat(F.lit("Item "), k.cast("string"), F.when(k % 19 == 0, F.lit(" Allergy")).otherwise(F.lit("")))
+         .alias("displayName"),
         F.when(F.col("event_type") != "signup",
                F.struct(F.concat(F.lit("g"), k.cast("string")).alias("guid"))).alias("item"),
         F.when(k % 5 == 0, F.lit(0)).otherwise(F.lit(1)).alias("quantity"),
@@ -116,7 +127,7 @@ def _selection(e) -> F.Column:
         F.col("value").alias("price"),
         (F.col("event_type") == "error").alias("voided"),
         discounts.alias("appliedDiscounts"),
-        F.when(k % 3 == 0, F.array(size)).alias("modifiers"))
+        F.when(k % 9 == 0, F.array(size, side)).when(k % 3 == 0, F.array(size)).alias("modifiers"))
 
 
 def landed_orders(mart: Mart) -> DataFrame:
@@ -124,9 +135,11 @@ def landed_orders(mart: Mart) -> DataFrame:
     with modifiers nested inside modifiers."""
     e = _events(mart)
     sel = _selection(e)
+    check = F.struct(F.array(sel).alias("selections"))
+    again = F.struct(F.array(sel, sel).alias("selections"))
     doc = F.struct(F.date_format("bdate", "yyyyMMdd").cast("int").alias("businessDate"),
                    (F.col("user_id") % 20).alias("store_id"),
-                   F.array(F.struct(F.array(sel).alias("selections"))).alias("checks"))
+                   F.when(F.col("k") % 7 == 0, F.array(check, again)).otherwise(F.array(check)).alias("checks"))
     return e.select(F.to_json(doc).alias("json"))
 
 
@@ -186,9 +199,10 @@ def product_mix_rows(mart: Mart, checkpoint: bool = True) -> DataFrame:
     Size-priced selections (any modifier replaces the price) emit only their
     priced modifiers, named "item modifier", at gross / quantity, carrying
     the selection's discount; other selections emit themselves and every
-    modifier at any depth.
+    modifier at any depth. The orders are read and parsed once: their
+    selections are checkpointed, and the three kinds of rows start from them.
     """
-    sel = selections(landed_orders(mart))
+    sel = materialise(selections(landed_orders(mart)), checkpoint)
     size_rows = (sel.filter("size_priced")
                     .select("date", "store_id", F.col("displayName").alias("sel_name"), "discount",
                             F.explode("mods").alias("m"))
@@ -223,13 +237,16 @@ def product_mix_rows(mart: Mart, checkpoint: bool = True) -> DataFrame:
     return item_rows.unionByName(size_rows).unionByName(mod_rows.select(*ROW_COLS))
 
 
-def product_mix(mart: Mart) -> DataFrame:
+def product_mix(mart: Mart, exclusions: DataFrame | None = None) -> DataFrame:
     """DOM-11 / AGG-02: per item, business day and store: quantity sold,
-    unweighted mean menu price, gross, net and discount totals."""
-    rows = product_mix_rows(mart)
-    return (rows.groupBy("item_guid", "date", "store_id", "item_name")
+    unweighted mean menu price, gross, net and discount totals. Excluded names
+    and notes are left out; an item sold under several names on a day is one
+    row, the last by name."""
+    rows = remove_special(product_mix_rows(mart), "item_name", exclusions)
+    named = (rows.groupBy("item_guid", "date", "store_id", "item_name")
                 .agg(F.round(F.sum("qty"), 4).alias("qty_sold"),
                      F.round(F.avg("menu"), 4).alias("menu_item_price"),
                      F.round(F.sum("gross"), 4).alias("gross_item_amt"),
                      F.round(F.sum("net"), 4).alias("net_item_amt"),
                      F.round(F.sum("discount"), 4).alias("discount_amt")))
+    return dedup(named, ["item_guid", "date", "store_id"], ["item_name"], keep="last")

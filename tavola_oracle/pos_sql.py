@@ -28,9 +28,11 @@ def product_mix() -> str:
     half = R("value / 2", 2)
     disc = f"CASE WHEN event_type = 'purchase' THEN {R('value * 0.1', 2)} ELSE 0.0 END"
     return E + f"""
-    , sel AS (SELECT * FROM e WHERE event_type NOT IN ('error', 'signup'))
+    , sel AS (SELECT e.*, 'Item ' || k || CASE WHEN k % 19 = 0 THEN ' Allergy' ELSE '' END AS called
+              FROM e, unnest(CASE WHEN k % 7 = 0 THEN [1, 2, 3] ELSE [1] END) AS t(copy)
+              WHERE event_type NOT IN ('error', 'signup'))
     , rows AS (
-        SELECT 'g' || k AS item_guid, bdate, store_id, 'Item ' || k AS item_name,
+        SELECT 'g' || k AS item_guid, bdate, store_id, called AS item_name,
                CASE WHEN k % 5 = 0 THEN 0.0 ELSE 1.0 END AS qty, value AS menu, value AS gross,
                value AS net, {disc} AS discount
         FROM sel WHERE k % 6 <> 0
@@ -41,11 +43,18 @@ def product_mix() -> str:
         SELECT 'n' || k, bdate, store_id, 'Extra ' || k, 1.0, 0.5, 0.5, 0.5, 0.0
         FROM sel WHERE k % 3 = 0 AND k % 2 <> 0
         UNION ALL
-        SELECT 'm' || k, bdate, store_id, 'Item ' || k || ' Size ' || (k % 4), 1.0, {half} / 1.0,
+        SELECT 's' || k, bdate, store_id, 'Side', 1.0, 0.25, 0.25, 0.25, 0.0
+        FROM sel WHERE k % 9 = 0 AND k % 2 <> 0
+        UNION ALL
+        SELECT 's' || k, bdate, store_id, called || ' Side', 1.0, 0.25, 0.25, 0.25, {disc}
+        FROM sel WHERE k % 18 = 0
+        UNION ALL
+        SELECT 'm' || k, bdate, store_id, called || ' Size ' || (k % 4), 1.0, {half} / 1.0,
                {half}, {half}, {disc}
         FROM sel WHERE k % 6 = 0 AND {half} <> 0)
     SELECT item_guid, CAST(bdate AS VARCHAR) AS date, store_id, item_name,
            {R('sum(qty)', 4)} AS qty_sold, {R('avg(menu)', 4)} AS menu_item_price,
            {R('sum(gross)', 4)} AS gross_item_amt, {R('sum(net)', 4)} AS net_item_amt,
            {R('sum(discount)', 4)} AS discount_amt
-    FROM rows GROUP BY item_guid, bdate, store_id, item_name"""
+    FROM rows WHERE NOT regexp_matches(item_name, 'Allergy$') GROUP BY item_guid, bdate, store_id, rows.item_name
+    QUALIFY row_number() OVER (PARTITION BY item_guid, bdate, store_id ORDER BY rows.item_name DESC) = 1"""
