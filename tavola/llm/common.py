@@ -27,18 +27,24 @@ def park(df: DataFrame, tidy: bool = False) -> DataFrame:
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/parked-{uuid.uuid4().hex}"
     schema = df.schema
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     if tidy:
         spark.sparkContext._jvm.System.gc()
     return spark.read.schema(schema).parquet(path)
 
 
+#: Most bytes of a batch that is handed to a Python worker.
+BATCH_BYTES = 16 << 20
+
+
 def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[dict] | dict | None],
               schema: str) -> DataFrame:
     """``mapInArrow`` for a function from one record batch to dicts of columns."""
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
     arrow = to_arrow_schema(StructType.fromDDL(schema))
+    # a session setting: long texts must not make batches of many times the usual size
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

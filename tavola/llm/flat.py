@@ -34,17 +34,19 @@ BYTE_CODE = mix(np.arange(1, 257, dtype=np.uint64) * _U(0x632BE59BD9B4E019))
 
 
 def _pow(kind: str, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse; tables for more than a chunk are not kept."""
     have = _powers.get(kind)
-    if have is None or len(have[0]) < n:
-        n = max(n, CHUNK_BYTES + 1024)
-        base = _BASE[kind]
-        out = []
-        for b in (base, pow(base, -1, 1 << 64)):
-            p = np.full(n, b, dtype=np.uint64)
-            p[0] = 1
-            out.append(np.cumprod(p))
-        have = _powers[kind] = (out[0], out[1])
-    return have
+    if have is not None and len(have[0]) >= n:
+        return have
+    size = max(n, CHUNK_BYTES + 1024)
+    out = []
+    for b in (_BASE[kind], pow(_BASE[kind], -1, 1 << 64)):
+        p = np.full(size, b, dtype=np.uint64)
+        p[0] = 1
+        out.append(np.cumprod(p))
+    if size == CHUNK_BYTES + 1024:
+        _powers[kind] = (out[0], out[1])
+    return out[0], out[1]
 
 
 class Rolling:

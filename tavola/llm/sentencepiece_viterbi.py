@@ -22,6 +22,7 @@ word may be as long as its text.
 from __future__ import annotations
 
 import hashlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -33,8 +34,7 @@ from tavola.llm.common import map_arrow, table
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-SLICE = 8 << 20
-REMEMBERED = 150_000
+REMEMBERED = 200_000
 _models: dict[str, "Vocabulary"] = {}
 
 
@@ -158,10 +158,10 @@ def _encode_slice(vocab: Vocabulary, known: dict, data: np.ndarray, offsets: np.
         for c in [c for c in known if c not in wanted]:
             del known[c]
     order = sorted(todo, key=todo.get)
-    known.update(zip(order, vocab.encode_sorted([todo[c] for c in order])))
+    known.update((c, array("i", ids).tobytes()) for c, ids in zip(order, vocab.encode_sorted([todo[c] for c in order])))
     lists = [known[c] for c in listed]
-    size = np.array([len(x) for x in lists], dtype=np.int64)
-    pool = np.fromiter((i for x in lists for i in x), dtype=np.int32, count=int(size.sum()))
+    size = np.array([len(x) for x in lists], dtype=np.int64) // 4
+    pool = np.frombuffer(b"".join(lists), dtype=np.int32)
     begin = np.cumsum(size) - size
     n = size[inverse]
     ends = np.r_[0, np.cumsum(n)]
@@ -180,7 +180,7 @@ def encode(docs: DataFrame, model: str = MODEL, decoded: bool = False) -> DataFr
         vocab = Vocabulary.of(proto)
         known = vocab.__dict__.setdefault("known", {})
         column = batch.column("text")
-        for a, b, data, offsets in flat.chunks(column, SLICE):
+        for a, b, data, offsets in flat.chunks(column):
             ids, bounds = _encode_slice(vocab, known, data, offsets)
             back, cut = vocab.decode(ids, bounds)
             if len(back) == len(data) and np.array_equal(cut, offsets) and np.array_equal(back, data):
