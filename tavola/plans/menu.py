@@ -41,12 +41,8 @@ def bread_basket_params(spark: SparkSession, rows=None) -> DataFrame:
 
 
 def _mix_with_cost(mart: Mart, fill_cost: bool) -> DataFrame:
-    pm = mart.product_mix
-    cost = mart.menu_cost
     cost_col = F.coalesce(F.col("cost"), F.lit(0.0)) if fill_cost else F.col("cost")
-    # Both sides are aggregated on (store_id, itemid), so the join reuses that
-    # partitioning and adds no shuffle.
-    return (pm.join(cost, ["store_id", "itemid"], "left")
+    return (mart.mix_and_cost
               .select("location", "store_id", "concept", "menu_item",
                       F.col("qty").alias("quantity"), F.col("price").alias("menu_price"),
                       cost_col.alias("menu_cost"), "sales",

@@ -226,11 +226,11 @@ class Mart:
         """Sales mix per store and menu item (quantity, unit price, sales) with
         the item's menu categories; categories are missing for every item
         whose size is a multiple of 11 (uncategorised items)."""
-        li = self.raw("lineitem")
-        agg = (li.groupBy(F.col("l_suppkey").alias("store_id"), F.col("l_partkey").alias("itemid"))
-                 .agg(F.sum("l_quantity").alias("qty"),
-                      F.avg(F.try_divide(F.col("l_extendedprice"), F.col("l_quantity"))).alias("price"),
-                      F.sum("l_extendedprice").alias("sales")))
+        return self.mix_and_cost.drop("cost")
+
+    @cached_property
+    def mix_and_cost(self) -> DataFrame:
+        """The sales mix with the recipe cost of the pair, from one pass over the lines."""
         uncategorised = (F.col("p_size") % 11) == 0
         p = self.raw("part").select(
             F.col("p_partkey").alias("itemid"),
@@ -240,15 +240,23 @@ class Mart:
             F.when(~uncategorised, F.col("p_brand")).alias("cat3"))
         r = self.restaurants.select(F.col("id").alias("store_id"), F.col("name").alias("location"),
                                     "concept")
-        return agg.join(p, "itemid").join(r, "store_id")
+        return self._line_totals.join(p, "itemid").join(r, "store_id")
 
     @cached_property
     def menu_cost(self) -> DataFrame:
         """Recipe cost per store and menu item; null when no closed ('F')
         line exists for the pair."""
-        li = self.raw("lineitem")
+        return self._line_totals.select("store_id", "itemid", "cost")
+
+    @cached_property
+    def _line_totals(self) -> DataFrame:
+        """Quantity, mean price, sales and recipe cost per store and item."""
         closed = F.col("l_linestatus") == "F"
         unit = F.try_divide(F.col("l_extendedprice") * (F.col("l_discount") + F.col("l_tax")),
                             F.col("l_quantity"))
-        return (li.groupBy(F.col("l_suppkey").alias("store_id"), F.col("l_partkey").alias("itemid"))
-                  .agg(F.avg(F.when(closed, unit)).alias("cost")))
+        return (self.raw("lineitem")
+                .groupBy(F.col("l_suppkey").alias("store_id"), F.col("l_partkey").alias("itemid"))
+                .agg(F.sum("l_quantity").alias("qty"),
+                     F.avg(F.try_divide(F.col("l_extendedprice"), F.col("l_quantity"))).alias("price"),
+                     F.sum("l_extendedprice").alias("sales"),
+                     F.avg(F.when(closed, unit)).alias("cost")))
