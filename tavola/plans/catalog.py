@@ -263,3 +263,16 @@ for _name, _fn, _doc in [
     ("holidays", reports.holidays, "DOM-18: holidays replaced by year."),
 ]:
     query(_name)(_fn)
+
+
+# -- feeds and dimension loads ----------------------------------------------------
+from tavola.plans import feeds  # noqa: E402
+
+for _name, _fn in [
+    ("feed_transaction", feeds.transaction_feed), ("feed_transaction_detail", feeds.transaction_detail_feed),
+    ("feed_labor_detail", feeds.labor_detail_feed), ("feed_sales_detail", feeds.sales_detail_feed),
+    ("feed_sales_employee", feeds.sales_employee_feed), ("feed_sales_payment", feeds.sales_payment_feed),
+    ("dss_list", feeds.dss_list), ("dim_job_titles", feeds.job_titles), ("dim_sales_accounts", feeds.sales_accounts),
+    ("dim_purchase_items", feeds.purchase_items),
+]:
+    query(_name)(_fn)

@@ -101,3 +101,13 @@ ORACLE.update({
     "item_conversion_sync": RP.item_conversion(),
     "holidays": RP.holidays(),
 })
+
+from tavola_oracle import feeds_sql as FD  # noqa: E402
+
+ORACLE.update({
+    "feed_transaction": FD.transaction(), "feed_transaction_detail": FD.transaction_detail(),
+    "feed_labor_detail": FD.labor_detail(), "feed_sales_detail": FD.sales_detail(),
+    "feed_sales_employee": FD.summaries("click", "salesid"), "feed_sales_payment": FD.summaries("purchase", "salespaymentid"),
+    "dss_list": FD.dss_list(), "dim_job_titles": FD.job_titles(), "dim_sales_accounts": FD.sales_accounts(),
+    "dim_purchase_items": FD.purchase_items(),
+})
