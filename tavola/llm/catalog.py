@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from tavola.llm import ann, class_lm, decontaminate, order_minhash, pii, quality_kn, sentencepiece_viterbi, style_tree, substring_dedup, suffix_dedup
+from tavola.llm import (ann, class_lm, decontaminate, order_minhash, pii, quality_kn, sentencepiece_viterbi, style_tree,
+                        substring_dedup, suffix_dedup)
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.op1_substring_dedup,
@@ -48,4 +49,32 @@ s AS (
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
 SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 20
 """,
+    "op7_template_decontamination": r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, [x FOR x IN regexp_split_to_array(coalesce(text, ''), '[^\p{L}\p{N}]+') IF x <> ''] AS raw
+  FROM documents WHERE doc_id IS NOT NULL),
+b AS (
+  SELECT item_id, [x FOR x IN regexp_split_to_array(coalesce(text, ''), '[^\p{L}\p{N}]+') IF x <> ''] AS raw
+  FROM benchmark WHERE item_id IS NOT NULL),
+df AS (SELECT *, TEMPLATE AS form FROM d),
+bf AS (SELECT *, TEMPLATE AS form, least(13, len(raw)) AS length FROM b WHERE len(raw) >= 5),
+bw AS (SELECT item_id, length, i AS at_, form[i:i + length - 1] AS win
+       FROM (SELECT *, unnest(range(1, len(form) - length + 2)) AS i FROM bf)),
+k AS (SELECT * FROM bw WHERE len([x FOR x IN win IF NOT starts_with(x, '<')]) >= 5),
+dw AS (SELECT doc_id, length, pos, form[pos:pos + length - 1] AS win
+       FROM (SELECT doc_id, form, length, unnest(range(1, len(form) - length + 2)) AS pos
+             FROM df, (SELECT DISTINCT length FROM k) l WHERE len(form) >= length)),
+f AS (SELECT doc_id, item_id, pos - at_ AS shift, count(DISTINCT at_) AS n_windows, min(at_) AS first, max(at_ + k.length - 1) AS last
+      FROM dw JOIN k ON k.win = dw.win AND k.length = dw.length GROUP BY ALL),
+z AS (SELECT f.*, [{'a': bf.form[i], 'o': lower(bf.raw[i]), 't': lower(df.raw[i + shift])}
+                   FOR i IN range(first, last + 1) IF bf.form[i] = df.form[i + shift]] AS same
+      FROM f JOIN df USING (doc_id) JOIN bf USING (item_id)),
+s AS (SELECT *, [x FOR x IN same IF starts_with(x.a, '<')] AS slots FROM z WHERE len(same) >= 5),
+c AS (SELECT doc_id, item_id, max({'n': n_windows, 'c': -len([x FOR x IN slots IF x.o <> x.t]), 's': len(slots)}) AS best FROM s
+      WHERE len(list_distinct(slots)) = len(list_distinct([{'a': x.a, 'o': x.o} FOR x IN slots])) GROUP BY ALL)
+SELECT doc_id, item_id, best.n AS n_windows, CAST(best.s AS INTEGER) AS n_slots, CAST(-best.c AS INTEGER) AS n_changed, best.c < 0 AS reparameterised FROM c
+""".replace("TEMPLATE", """[CASE WHEN x >= '0' AND x < ':' THEN '<num>'
+     WHEN lower(x) = x THEN CASE WHEN x IN (UNITS) THEN '<unit>' ELSE x END
+     WHEN x[2:] <> '' AND lower(x[2:]) = x[2:] THEN '<name>' ELSE lower(x) END FOR x IN raw]""")
+    .replace("UNITS", ", ".join(f"'{u}'" for u in decontaminate.UNITS)),
 }
