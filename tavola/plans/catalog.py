@@ -276,3 +276,14 @@ for _name, _fn in [
     ("dim_purchase_items", feeds.purchase_items),
 ]:
     query(_name)(_fn)
+
+
+# -- small record jobs -------------------------------------------------------------
+from tavola.plans import records  # noqa: E402
+
+for _name, _fn in [
+    ("menu_tree", records.menu_tree), ("pos_item_dictionary", records.pos_item_dictionary),
+    ("store_config", records.store_config), ("daily_sales_totals", records.daily_sales_totals),
+    ("payment_ids", records.payment_ids), ("item_part_b", records.item_part_b),
+]:
+    query(_name)(_fn)

@@ -111,3 +111,10 @@ ORACLE.update({
     "dss_list": FD.dss_list(), "dim_job_titles": FD.job_titles(), "dim_sales_accounts": FD.sales_accounts(),
     "dim_purchase_items": FD.purchase_items(),
 })
+
+from tavola_oracle import records_sql as RS  # noqa: E402
+
+ORACLE.update({
+    "menu_tree": RS.MENU_TREE, "pos_item_dictionary": RS.DICTIONARY, "store_config": RS.STORE_CONFIG,
+    "daily_sales_totals": RS.DAILY_TOTALS, "payment_ids": RS.PAYMENT_IDS, "item_part_b": RS.PART_B,
+})

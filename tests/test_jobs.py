@@ -80,3 +80,14 @@ def test_cheapest_price_keeps_its_own_unit(spark, mart):
         prices[r.itemid] = min(prices.get(r.itemid, key), key)
     got = recipes.menu_cost_converted(mart).select("item_id", "base_uofm").distinct().collect()
     assert got and all(prices[r.item_id][2] == r.base_uofm for r in got)
+
+
+def test_longest_known_prefix_is_stripped(spark):
+    from tavola.plans.records import flatten_menu, strip_known_prefix
+    df = spark.createDataFrame([("Hot Dog Bun",), ("Hot Dog",), ("Hotel Soap",), (None,), ("Dog Hot",)], "name string")
+    known = spark.createDataFrame([("Hot",), ("Hot Dog",), ("",)], "p string")
+    assert rows(strip_known_prefix(df, "name", known, "b"), "name", "b") == sorted(
+        [("Hot Dog Bun", "Bun"), ("Hot Dog", "Dog"), ("Hotel Soap", "Hotel Soap"), (None, None), ("Dog Hot", "Dog Hot")], key=str)
+    deep = '{"name": "A", "menuItems": [{"name": "x"}], "menuGroups": [{"name": "B", "menuGroups": [{"name": "C", "menuItems": [{"name": "y"}]}]}]}'
+    got = flatten_menu(spark.createDataFrame([(1, deep)], "menu_id long, node string"))
+    assert rows(got, "path", "item") == [("A > B > C", "y"), ("A", "x")]
