@@ -13,8 +13,10 @@ row-by-row work and nothing collected.
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -178,31 +180,38 @@ def _file_system(spark, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def current_version_path(spark, base: str) -> str | None:
-    """Path of the current version of a table, or None if the table has no
-    pointer file yet; any other failure to read it is raised."""
+def current_paths(spark, base: str) -> list[str]:
+    """Directories of the current version of a table (one, or one per
+    partition), none if the table has no pointer file yet; any other failure to
+    read it is raised."""
     fs, pointer = _file_system(spark, f"{base}/CURRENT")
     if not fs.exists(pointer):
-        return None
-    row = spark.read.text(f"{base}/CURRENT").first()
-    if row is None:
+        return []
+    paths = [r[0] for r in spark.read.text(f"{base}/CURRENT").collect()]  # one line per directory
+    if not paths:
         raise ValueError(f"empty pointer {base}/CURRENT")
-    return row[0]
+    return paths
 
 
 def read_table(spark, base: str) -> DataFrame | None:
-    path = current_version_path(spark, base)
-    return spark.read.parquet(path) if path else None
+    paths = current_paths(spark, base)
+    return spark.read.parquet(*paths) if paths else None
 
 
-def _point_at(spark, base: str, path: str) -> None:
+def _next_version(base: str, paths: Sequence[str]) -> str:
+    """A directory name that no attempt used before, numbered after the current version."""
+    last = max((int(re.search(r"/v(\d+)-", p)[1]) for p in paths), default=0)
+    return f"{base}/v{last + 1:06d}-{uuid.uuid4().hex[:8]}"
+
+
+def _point_at(spark, base: str, paths: Sequence[str]) -> None:
     """Replace the pointer file in one rename, so a reader sees the old or the
     new version and never none."""
     jvm = spark.sparkContext._jvm
     fs, draft = _file_system(spark, f"{base}/.current-{uuid.uuid4().hex}")
     out = fs.create(draft, True)
     try:
-        out.write(bytearray(path.encode()))
+        out.write(bytearray("\n".join(paths).encode()))
     finally:
         out.close()
     options = jvm.org.apache.hadoop.fs.Options.Rename
@@ -223,17 +232,49 @@ def write_version(df: DataFrame, base: str, partition_by: Sequence[str] = ()) ->
     way, and a rerun starts afresh.
     """
     spark = df.sparkSession
-    prev = current_version_path(spark, base)
-    n = 1 if prev is None else int(prev.rstrip("/").rsplit("/v", 1)[-1].split("-")[0]) + 1
-    path = f"{base}/v{n:06d}-{uuid.uuid4().hex[:8]}"
+    path = _next_version(base, current_paths(spark, base))
     w = df.write.mode("errorifexists")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
-    _point_at(spark, base, path)
+    _point_at(spark, base, [path])
     return path
 
 
+def _part_of(path: str) -> str | None:
+    """The partition value in a directory name; False-like only for none."""
+    name = path.rstrip("/").rsplit("/", 1)[-1]
+    if not name.startswith("_part="):
+        raise ValueError(f"{path} is no partition directory")
+    value = unquote(name[len("_part="):])
+    return None if value == "__HIVE_DEFAULT_PARTITION__" else value
+
+
+def rewrite_partitions(spark, base: str, batch: DataFrame, part: str, change) -> list[str]:
+    """MRG-11 by partition: only the partitions of column ``part`` that the
+    batch holds are read, changed and written; the pointer then lists their new
+    directories beside the untouched old ones.
+
+    ``change(target or None, batch)`` gives the new rows of those partitions and
+    must keep rows in their partition. The driver handles one line per
+    partition, no rows.
+    """
+    value = F.col(part).cast("string")
+    touched = {r[0] for r in batch.select(value).distinct().collect()}
+    paths = current_paths(spark, base)
+    hit = [p for p in paths if _part_of(p) in touched]
+    target = spark.read.parquet(*hit) if hit else None
+    path = _next_version(base, paths)
+    change(target, batch).withColumn("_part", value).write.mode("errorifexists").partitionBy("_part").parquet(path)
+    fs, root = _file_system(spark, path)
+    new = [str(s.getPath().toString()) for s in fs.listStatus(root) if s.isDirectory()]
+    now = [p for p in paths if p not in hit] + sorted(new)
+    if not now:
+        raise DataQualityError("the change leaves no rows")
+    _point_at(spark, base, now)
+    return now
+
+
 def safe_upsert(df_target_base: str, source: DataFrame, keys: Sequence[str], **kw) -> str:
     """Upsert a batch into a versioned table; refuses an empty batch."""
     spark = source.sparkSession

@@ -20,23 +20,32 @@ from tavola.operators import merge
 
 
 def apply_batch(spark: SparkSession, table: str, batch: DataFrame, keys: Sequence[str],
-                part_keys: Sequence[str] | None, version: str | None) -> None:
-    """One idempotent step: supersede, upsert, write a new version."""
+                part_keys: Sequence[str] | None, version: str | None, partition: str | None = None) -> None:
+    """One idempotent step: supersede, upsert, write a new version.
+
+    With ``partition``, a column of both the keys and the part keys, only the
+    partitions that the batch holds are read and written.
+    """
     if batch.isEmpty():
         return
+    if partition and (partition not in keys or (part_keys and partition not in part_keys)):
+        raise ValueError("the partition column must be among the keys and the part keys")
     # The batch is used several times (checks, supersede, upsert): it is read
     # from its files once. Versions are never overwritten, so the new state can
     # be computed from the current one and written straight away.
+    def change(target, rows):
+        if target is None:
+            return merge.prepare_batch(rows, keys)
+        if part_keys and version:
+            target = merge.drop_superseded_absent(target, rows, part_keys, version)
+        return merge.upsert(target, rows, keys)
+
     batch = batch.persist()
     try:
-        target = merge.read_table(spark, table)
-        if target is None:
-            new = merge.prepare_batch(batch, keys)
+        if partition:
+            merge.rewrite_partitions(spark, table, batch, partition, change)
         else:
-            if part_keys and version:
-                target = merge.drop_superseded_absent(target, batch, part_keys, version)
-            new = merge.upsert(target, batch, keys)
-        merge.write_version(new, table)
+            merge.write_version(change(merge.read_table(spark, table), batch), table)
     finally:
         batch.unpersist()
 
@@ -44,14 +53,14 @@ def apply_batch(spark: SparkSession, table: str, batch: DataFrame, keys: Sequenc
 def incremental_upsert(spark: SparkSession, landing: str, schema: T.StructType, table: str,
                        checkpoint: str, keys: Sequence[str],
                        part_keys: Sequence[str] | None = None, version: str | None = None,
-                       fmt: str = "parquet", available_now: bool = True):
+                       fmt: str = "parquet", available_now: bool = True, partition: str | None = None):
     """Start the stream; with ``available_now`` it processes every landed
     file and stops (a catch-up run), otherwise it keeps running."""
     from tavola.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(spark)
     stream = spark.readStream.schema(schema).format(fmt).load(landing)
     w = (stream.writeStream
-         .foreachBatch(lambda df, _id: apply_batch(spark, table, df, keys, part_keys, version))
+         .foreachBatch(lambda df, _id: apply_batch(spark, table, df, keys, part_keys, version, partition))
          .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()

@@ -111,3 +111,21 @@ def test_json_pages_one_document_per_line(spark, tmp):
     schema = T.StructType([T.StructField("id", T.LongType())])
     assert sorted(r.id for r in read_json_pages(spark, tmp, schema).collect()) == [1, 2, 3, 4]
     assert [r.file[-6:] for r in broken_json_pages(spark, tmp).collect()] == ["c.json"]
+
+
+def test_partitions_that_a_batch_does_not_hold_are_not_rewritten(spark, tmp):
+    from tavola.streaming.incremental import apply_batch
+    schema = "id int, loc string, d date, version string, amount double"
+    def rows(*r):
+        import datetime as dt
+        return spark.createDataFrame([(i, "L", dt.date(2024, 1, day) if day else None, v, a) for i, day, v, a in r], schema)
+    base = os.path.join(tmp, "t")
+    def send(*r):
+        apply_batch(spark, base, rows(*r), ["id", "d"], ["loc", "d"], "version", partition="d")
+        return merge.current_paths(spark, base)
+    first = send((1, 1, "v1", 1.0), (2, 2, "v1", 2.0), (9, None, "v1", 9.0))
+    second = send((3, 1, "v2", 5.0), (4, 3, "v1", 6.0))
+    assert len(first) == 3 and len(second) == 4 and len(set(first) & set(second)) == 2
+    got = sorted((r.id, r.version, r.amount) for r in merge.read_table(spark, base).collect())
+    assert got == [(2, "v1", 2.0), (3, "v2", 5.0), (4, "v1", 6.0), (9, "v1", 9.0)]
+    assert merge.read_table(spark, base).columns == ["id", "loc", "d", "version", "amount"]
