@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tavola.llm.common import park, table
 from tavola.llm.decontaminate import contaminated
-from tavola.llm.order_minhash import near_duplicates
+from tavola.llm.order_minhash import SHINGLE, near_duplicates
 from tavola.llm.pii import pseudonymise
 from tavola.llm.quality_kn import classify
 from tavola.llm.sentencepiece_viterbi import encode
@@ -39,7 +39,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    groups = near_duplicates(docs)
+    groups = near_duplicates(docs, shingle=SHINGLE)
     others = groups.filter("doc_id <> class_id").select("doc_id").distinct()
     first = docs.join(park(others).hint("shuffle_hash"), "doc_id", "left_anti").select(*docs.columns)
     repeated = groups.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").select("doc_id")
