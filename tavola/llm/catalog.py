@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tavola.llm import (ann, class_lm, decontaminate, order_minhash, pii, quality_kn, sentencepiece_viterbi, style_tree,
+from tavola.llm import (ann, class_lm, credentials, decontaminate, order_minhash, pii, quality_kn, sentencepiece_viterbi, style_tree,
                         substring_dedup, suffix_dedup)
 
 QUERIES = {
@@ -16,6 +16,7 @@ QUERIES = {
     "op8_order_minhash": order_minhash.op8_order_minhash,
     "op9_feistel_pii": pii.op9_feistel_pii,
     "op10_kneser_ney_quality": quality_kn.op10_kneser_ney_quality,
+    "op13_multipart_secrets": credentials.op13_multipart_secrets,
 }
 
 ORACLE: dict[str, str] = {
