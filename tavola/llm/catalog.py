@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tavola.llm import (ann, class_lm, credentials, decontaminate, order_minhash, pii, quality_kn, sentencepiece_viterbi, style_tree,
+from tavola.llm import (ann, class_lm, credentials, decontaminate, order_minhash, pii, quality_kn, sentencepiece_viterbi, shared_terms, style_tree,
                         substring_dedup, suffix_dedup)
 
 QUERIES = {
@@ -16,6 +16,7 @@ QUERIES = {
     "op8_order_minhash": order_minhash.op8_order_minhash,
     "op9_feistel_pii": pii.op9_feistel_pii,
     "op10_kneser_ney_quality": quality_kn.op10_kneser_ney_quality,
+    "op11_shared_term_search": shared_terms.op11_shared_term_search,
     "op13_multipart_secrets": credentials.op13_multipart_secrets,
 }
 
@@ -49,6 +50,23 @@ s AS (
   FROM v AS q JOIN v ON v.vec_id <> q.vec_id AND len(v.e) = len(q.e) WHERE q.vec_id % 20 = 0),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
 SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 20
+""",
+    "op11_shared_term_search": r"""
+WITH d AS (
+  SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS words FROM documents),
+q AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark WHERE item_id IS NOT NULL),
+s AS (SELECT count(*) AS N, sum(len(words))::BIGINT AS L FROM d WHERE len(words) > 0),
+t AS (SELECT row, term, count(*) AS tf FROM (SELECT row, unnest(words) AS term FROM d) GROUP BY ALL),
+w AS (SELECT term, floor(1000 * ln((2 * N + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM t, s GROUP BY term, N),
+m AS (SELECT row, doc_id, 50 + (50 * len(words) * N) // L AS m FROM d, s WHERE doc_id IS NOT NULL AND len(words) > 0),
+c AS (SELECT item_id, row, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m)))::BIGINT AS score
+      FROM q JOIN t USING (term) JOIN w USING (term) JOIN m USING (row) GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM c WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM r WHERE rank <= 50
 """,
     "op7_template_decontamination": r"""
 WITH RECURSIVE d AS (
