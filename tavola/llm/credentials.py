@@ -169,6 +169,6 @@ def _written(column) -> Column:
 
 def op13_multipart_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_secrets(table(spark, sf_dir, "documents", "doc_id", "text"))
-    count = [F.size(F.filter("spans", lambda s, k=kind: s.kind == k)).cast("long").alias(f"n_{kind}") for kind in BASE]
+    count = [F.size(F.expr(f"filter(spans, s -> s.kind = '{kind}')")).cast("long").alias(f"n_{kind}") for kind in BASE]
     base = F.filter("spans", lambda s: s.kind.isin(*BASE))
     return found.select("doc_id", *count, F.sha2(_written(base), 256).alias("base_sha256"), _written(F.col("spans")).alias("spans"))

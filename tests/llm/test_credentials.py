@@ -7,7 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tavola.llm.credentials import BASE, COMPLEMENTS, KINDS, REACH, find_secrets, link, op13_multipart_secrets, scan, spans
-from tests.llm.conftest import EDGE, TINY
+from tests.llm.conftest import EDGE
 
 WORD = set(string.ascii_letters + string.digits + "+/_.=-")
 
@@ -129,9 +129,10 @@ def test_edges_and_hot_rows(spark, make):
 
 
 def test_query_against_hand_written_scan(spark):
-    t = pq.read_table(f"{TINY}/documents.parquet", columns=["doc_id", "text"]).to_pylist()
-    got = {r.doc_id: r for r in op13_multipart_secrets(spark, TINY).collect()}
-    assert len(got) == len(t)
+    small = "/root/testdata/sf0.01"
+    t = pq.read_table(f"{small}/documents.parquet", columns=["doc_id", "text"]).to_pylist()
+    got = {r.doc_id: r for r in op13_multipart_secrets(spark, small).collect()}
+    assert len(got) == len(t) and sum(r.n_assign for r in got.values()) > 5
     for d in t:
         want = base_by_hand(d["text"] or "")
         r = got[d["doc_id"]]
