@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tavola.llm import (ann, class_lm, credentials, decontaminate, order_minhash, pii, quality_kn, sentencepiece_viterbi, shared_terms, style_tree,
-                        substring_dedup, suffix_dedup)
+                        substring_dedup, suffix_dedup, token_alignment)
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.op1_substring_dedup,
@@ -17,6 +17,7 @@ QUERIES = {
     "op9_feistel_pii": pii.op9_feistel_pii,
     "op10_kneser_ney_quality": quality_kn.op10_kneser_ney_quality,
     "op11_shared_term_search": shared_terms.op11_shared_term_search,
+    "op12_token_alignment": token_alignment.op12_token_alignment,
     "op13_multipart_secrets": credentials.op13_multipart_secrets,
 }
 
