@@ -51,3 +51,11 @@ def test_stages_with_odd_rows_and_columns(spark, make):
         assert out.columns == docs.columns and {r.keep for r in out.collect()} <= {"mine"}
         assert stage(spark, docs.limit(0), d).count() == 0
     assert P.tokens(spark, docs, d).count() == 7
+
+
+def test_deduplicate_keeps_unique_texts_of_a_repeated_doc_id(spark, make):
+    a, b, c = ("".join(f" {x}{i}" for i in range(40)) for x in "abc")
+    rows = [(1, a), (5, a), (5, b), (9, c), (9, c), (9, c.replace(" ", "  ")), (10, c), (11, b + " end"), (12, None), (12, ""), (12, ""), (None, a)]
+    out = P.deduplicate(spark, make(rows), "/root/testdata/sf0.001")
+    got = sorted(((r.doc_id, " ".join((r.text or "").split())) for r in out.collect()), key=str)
+    assert got == sorted([(1, a.strip()), (5, b.strip()), (9, c.strip()), (12, ""), (12, ""), (None, a.strip())], key=str)
