@@ -7,8 +7,9 @@ checkpoint folder and reads it again, so a lost executor costs tasks of one
 stage only. Stages judge whole texts and drop nothing but what they are for:
 
 * quality: documents that the Kneser-Ney classifier rejects, and empty ones;
-* near_duplicates: all documents of a class but the one with the smallest
-  doc_id, and repeated rows of it; rows without doc_id stay;
+* near_duplicates: all rows of a class but one, that of its first text under the
+  smallest doc_id; rows without doc_id stay, and so do rows that share a doc_id
+  while their texts are of different classes;
 * decontaminate: documents that hold a benchmark item;
 * pii and tokens: nothing.
 """
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 
 from tavola.llm.common import park, table
 from tavola.llm.decontaminate import contaminated
-from tavola.llm.order_minhash import SHINGLE, near_duplicates
+from tavola.llm.order_minhash import SHINGLE, rows_with_classes
 from tavola.llm.pii import pseudonymise
 from tavola.llm.quality_kn import classify
 from tavola.llm.sentencepiece_viterbi import encode
@@ -39,15 +40,24 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    groups = near_duplicates(docs, shingle=SHINGLE)
-    others = groups.filter("doc_id <> class_id").select("doc_id").distinct()
-    first = docs.join(park(others).hint("shuffle_hash"), "doc_id", "left_anti").select(*docs.columns)
-    repeated = groups.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").select("doc_id")
-    repeated = park(repeated)
-    twice = first.join(F.broadcast(repeated), "doc_id", "left_semi") if repeated.count() < 100_000 else first.join(
-        repeated, "doc_id", "left_semi")
-    once = first.join(repeated, "doc_id", "left_anti")
-    return once.select(*docs.columns).unionByName(twice.dropDuplicates(["doc_id", "text"]).select(*docs.columns))
+    text_id = F.xxhash64(F.col("text").cast("string"))
+    groups = park(rows_with_classes(docs, shingle=SHINGLE).filter("doc_id IS NOT NULL")
+                  .groupBy("doc_id", "class_id", "node", "leads", "text_id").agg(F.count("*").alias("n")))
+    # of a class stays the row of its first text under its smallest doc_id; of several spellings of it the first
+    lead = F.expr("leads AND doc_id = class_id")
+    spelt = groups.filter(lead & F.col("node").isNotNull()).groupBy("doc_id", "node").agg(F.min("text_id").alias("first"), F.count("*").alias("k"))
+    gone = groups.filter(~lead).select("doc_id", "text_id").unionByName(
+        groups.filter(lead).join(spelt.filter("k > 1"), ["doc_id", "node"]).filter("text_id <> first").select("doc_id", "text_id"))
+    gone = park(gone.withColumnRenamed("doc_id", "gone_id").withColumnRenamed("text_id", "gone_text"))
+    repeated = park(groups.filter("n > 1").select(F.col("doc_id").alias("again_id"), F.col("text_id").alias("again_text")))
+    plain = _plain(docs, "doc_id", "text").withColumn("text_id", text_id)
+    left = plain.join(gone.hint("shuffle_hash"), F.expr("doc_id = gone_id AND text_id = gone_text"), "left_anti")
+    same = F.expr("doc_id = again_id AND text_id = again_text")
+    if repeated.count() < 100_000:
+        repeated = F.broadcast(repeated)
+    twice = left.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "text_id"])
+    out = left.join(repeated, same, "left_anti").unionByName(twice)
+    return out.drop("text_id").toDF(*docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
