@@ -5,17 +5,21 @@ quantity required so far. Each level joins the frontier to the component
 edges, divides by the parent's yield, and *aggregates* per (root, component)
 before going on - so the work per level is bounded by the number of
 distinct (root, node) pairs, never by the number of paths, and a hot recipe
-is spread by the shuffle on (root, component). The frontier is written to
-the shared checkpoint directory after each level (``DataFrame.checkpoint``),
-which cuts the lineage and lets a lost executor recompute only one level.
-
-Cycles: a walk on a cyclic graph never empties its frontier, so the edges that
-cannot be peeled away (``find_cycles``) are taken out first and their recipes
-are reported; chains may be of any length.
+is spread by the shuffle on (root, component). Yields, errors and the kind of every
+component are joined to the edges once, so a level is one join and one
+grouping; its rows are written to the shared checkpoint directory
+(``DataFrame.checkpoint``), which cuts the lineage and lets a lost executor
+recompute only one level.
+
+Cycles: a walk on a cyclic graph never empties its frontier, so recipes that
+lead into a cycle (``find_cycles``) are taken out first and reported; chains may
+be of any length.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -55,59 +59,42 @@ def explode_bom(edges: DataFrame, yields: DataFrame, roots: DataFrame,
     parents = edges.select(F.col("parent").alias("recipe")).distinct()
     prep = (prep.select(F.col(prep.columns[0]).alias("recipe")).distinct()
             if prep is not None else parents)
-    prep_flag = prep.withColumn("_is_prep", F.lit(True)).withColumnRenamed("recipe", "child")
     missing = prep.join(parents, "recipe", "left_anti")      # prep without components
-    y = yields.select(F.col("recipe").alias("node"), F.col("yield").alias("_yield"),
-                      F.lit(True).alias("_has_yield"))
     prep_children = prep.withColumnRenamed("recipe", "child")
     cyclic = find_cycles(edges.join(prep_children, "child", "left_semi"), checkpoint)
-    e = (edges.select(F.col("parent").alias("node"), "child", F.col("qty").alias("_eqty"), "uofm")
-              .join(cyclic.withColumnRenamed("recipe", "node"), "node", "left_anti"))
-    cyclic_flag = cyclic.select(F.col("recipe").alias("node"), F.lit(True).alias("_cyclic"))
-
-    frontier = roots.select("root", F.col("recipe").alias("node"),
-                            F.lit(1.0).alias("qty"))
-    frontier = materialise(frontier, checkpoint)
-    leaves_parts: list[DataFrame] = []
-    error_parts: list[DataFrame] = []
-    depth = 0
-    while not frontier.isEmpty():
-        depth += 1
-        withy = frontier.join(y, "node", "left").join(cyclic_flag, "node", "left")
-        bad_yield = F.coalesce(F.col("_has_yield") & (F.col("_yield").isNull() | (F.col("_yield") == 0)),
-                               F.lit(False))
-        on_cycle = F.coalesce("_cyclic", F.lit(False))
-        error = F.when(on_cycle, "recipe cycle").when(bad_yield, "invalid yield")
-        error_parts.append(withy.withColumn("error", error).filter("error IS NOT NULL")
-                           .select("root", F.col("node").alias("recipe"), "error"))
-        ok = withy.filter(~bad_yield & ~on_cycle)
-        step = (ok.join(e, "node")
-                  .select("root", "child", "uofm",
-                          (F.col("qty") * F.col("_eqty") / F.coalesce(F.col("_yield"), F.lit(1.0)))
-                          .alias("qty"))
-                  .join(prep_flag, "child", "left"))
+    bad = yields.filter("yield IS NULL OR yield = 0").select("recipe", F.lit("invalid yield").alias("error"))
+    errors_of = (cyclic.withColumn("error", F.lit("recipe cycle")).unionByName(bad)
+                 .groupBy("recipe").agg(F.max("error").alias("error")))  # of both, the cycle
+    # What a level needs to know of a recipe is joined once: per component the
+    # factor and whether it goes on, per faulty recipe one row with its error.
+    known = (edges.select(F.col("parent").alias("recipe"), "child", "qty", "uofm")
+             .join(errors_of, "recipe", "left_anti").join(yields, "recipe", "left")
+             .join(prep_children.withColumn("_prep", F.lit(True)), "child", "left")
+             .select(F.col("recipe").alias("node"), "child", "uofm", F.coalesce("_prep", F.lit(False)).alias("goes_on"),
+                     (F.col("qty") / F.coalesce(F.col("yield"), F.lit(1.0))).alias("factor"), F.lit(None).cast("string").alias("error")))
+    faulty = errors_of.select(F.col("recipe").alias("node"), F.col("recipe").alias("child"), F.lit(None).cast("string").alias("uofm"),
+                              F.lit(False).alias("goes_on"), F.lit(None).cast("double").alias("factor"), "error")
+    known = materialise(known.unionByName(faulty), checkpoint)
+
+    frontier = roots.select("root", F.col("recipe").alias("node"), F.lit(1.0).alias("qty"))
+    steps: list[DataFrame] = []
+    while True:
+        step = (frontier.join(known, "node")
+                .groupBy("root", "child", "uofm", "goes_on", "error").agg(F.sum(F.col("qty") * F.col("factor")).alias("qty"))
+                .withColumn("depth", F.lit(len(steps) + 1)))
         step = materialise(step, checkpoint)
-        is_prep = F.coalesce(F.col("_is_prep"), F.lit(False))
-        leaves_parts.append(step.filter(~is_prep)
-                                .groupBy("root", "child", "uofm")
-                                .agg(F.sum("qty").alias("qty"))
-                                .withColumn("depth", F.lit(depth)))
-        frontier = materialise(step.filter(is_prep).groupBy("root", F.col("child").alias("node"))
-                                .agg(F.sum("qty").alias("qty")), checkpoint)
-
-    spark = roots.sparkSession
-    if leaves_parts:
-        leaves = leaves_parts[0]
-        for p in leaves_parts[1:]:
-            leaves = leaves.unionByName(p)
-        leaves = (leaves.groupBy("root", "child", "uofm")
-                        .agg(F.sum("qty").alias("qty"), F.max("depth").alias("depth")))
-    else:
-        leaves = spark.createDataFrame([], "root long, child long, uofm string, qty double, depth int")
+        steps.append(step)
+        down = step.filter("goes_on")
+        if down.isEmpty():
+            break
+        frontier = down.groupBy("root", F.col("child").alias("node")).agg(F.sum("qty").alias("qty"))
+
+    rows = reduce(DataFrame.unionByName, steps)
+    leaves = (rows.filter("NOT goes_on AND error IS NULL").groupBy("root", "child", "uofm")
+              .agg(F.sum("qty").alias("qty"), F.max("depth").alias("depth")))
     errors = missing.select(F.lit(None).cast(roots.schema["root"].dataType).alias("root"),
                             "recipe", F.lit("prep recipe without components").alias("error"))
-    for p in error_parts:
-        errors = errors.unionByName(p)
+    errors = errors.unionByName(rows.filter("error IS NOT NULL").select("root", F.col("child").alias("recipe"), "error"))
     if on_error == "raise":
         first = errors.limit(1).collect()
         if first:
@@ -118,23 +105,23 @@ def explode_bom(edges: DataFrame, yields: DataFrame, roots: DataFrame,
 def find_cycles(edges: DataFrame, checkpoint: bool = True) -> DataFrame:
     """REC-02: recipes that lie on a cycle or lead into one.
 
-    Peels the graph: repeatedly remove edges whose child has no outgoing
-    edge left, until nothing changes. What survives leads into a cycle.
-    One semi-join per round, no path enumeration.
+    Every round removes the edges into recipes without components and lets
+    edges into a recipe with a single component point past it, at that
+    component. Both keep the answer: a recipe leads into a cycle if and only if
+    one of its components does. The second halves chains, so a chain of n
+    recipes is gone after about log2(n) rounds, and edges never get more. It ends
+    when every component left has components of its own.
     """
-    cur = edges.select("parent", "child").distinct()
-    cur = materialise(cur, checkpoint)
-    n = cur.count()
-    while n:
-        heads = cur.select(F.col("parent").alias("child")).distinct()
-        nxt = cur.join(heads, "child", "left_semi")
-        nxt = materialise(nxt, checkpoint)
-        m = nxt.count()
-        cur = nxt
-        if m == n:
-            break
-        n = m
-    return cur.select(F.col("parent").alias("recipe")).distinct()
+    cur = materialise(edges.select("parent", "child").distinct(), checkpoint)
+    while True:
+        fan = cur.groupBy(F.col("parent").alias("child")).agg(F.count("*").alias("n"), F.min("child").alias("next"))
+        looked = cur.join(fan, "child", "left")
+        cur = materialise(looked.select("parent", F.expr("CASE WHEN n = 1 THEN next ELSE child END").alias("child"), "n")
+                          .groupBy("parent", "child").agg(F.min(F.coalesce("n", F.lit(0))).alias("n")), checkpoint)
+        alive = cur.filter("n > 0").select("parent", "child")
+        if cur.filter("n = 0").isEmpty():
+            return alive.select(F.col("parent").alias("recipe")).distinct()
+        cur = alive
 
 
 def explode_levels(df: DataFrame, children, emit, key_cols, checkpoint: bool = True) -> DataFrame:

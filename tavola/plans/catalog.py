@@ -132,10 +132,23 @@ def _wbcy(m: Mart) -> DataFrame:
 
 @query("weekly_base_cost_all")
 def _wbca(m: Mart) -> DataFrame:
-    """DOM-06 / JN-14 / INC-03: every fiscal week of the data, per store."""
+    """DOM-06 / JN-14: item costs of every fiscal week of the data; a row stands for the
+    weeks from_week to to_week."""
+    return cost.weekly_cost_spans(m)
+
+
+@query("weekly_base_cost_by_store")
+def _wbcs(m: Mart) -> DataFrame:
+    """DOM-06: every fiscal week of the data, summarised per store."""
     return cost.weekly_base_cost_by_store(m)
 
 
+@query("weekly_cost_increment")
+def _wci(m: Mart) -> DataFrame:
+    """INC-03: the same spans, reached by applying a late batch to the touched keys only."""
+    return cost.weekly_cost_increment(m)
+
+
 # -- menu engineering ----------------------------------------------------------
 from tavola.plans import menu  # noqa: E402
 
@@ -273,7 +286,7 @@ for _name, _fn in [
     ("feed_labor_detail", feeds.labor_detail_feed), ("feed_sales_detail", feeds.sales_detail_feed),
     ("feed_sales_employee", feeds.sales_employee_feed), ("feed_sales_payment", feeds.sales_payment_feed),
     ("dss_list", feeds.dss_list), ("dim_job_titles", feeds.job_titles), ("dim_sales_accounts", feeds.sales_accounts),
-    ("dim_purchase_items", feeds.purchase_items),
+    ("dim_purchase_items", feeds.purchase_items), ("dim_units", feeds.units),
 ]:
     query(_name)(_fn)
 
@@ -287,3 +300,13 @@ for _name, _fn in [
     ("payment_ids", records.payment_ids), ("item_part_b", records.item_part_b),
 ]:
     query(_name)(_fn)
+
+
+# -- streaming ----------------------------------------------------------------------
+from tavola.plans import streams  # noqa: E402
+
+
+@query("stream_sales_upsert")
+def _stream(m: Mart) -> DataFrame:
+    """INC-01/02: landed deliveries caught up by a stream, late corrections included."""
+    return streams.sales_stream(m)

@@ -13,7 +13,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tavola.functions.numeric import nullif_div, unit_cost
@@ -122,3 +122,93 @@ def weekly_base_cost_by_store(mart: Mart) -> DataFrame:
     the sum of their base costs."""
     return (weekly_base_cost_all(mart).groupBy("week_index", "year", "period", "week", "store_id")
             .agg(F.count("*").alias("items"), F.sum(F.col("base_cost").cast("decimal(18,4)")).cast("double").alias("base_cost")))
+
+
+# -- INC-03: costs as validity spans, kept current key by key ---------------------
+SPAN_KEY = ["store_id", "item_id"]
+_VALUES = ["date", "item", "base_uofm", "base_cost"]
+
+
+def cost_spans(purchases: DataFrame, counts: DataFrame, last_week: int) -> DataFrame:
+    """DOM-06 without a row per week: store_id, item_id, from_week, to_week and
+    the cost that holds in all of those weeks (the longest such runs).
+
+    A purchase holds until the item's next week with a purchase. Where it costs
+    nothing, and before the first purchase, the store's oldest stock count holds
+    from its week on. A hot (store, item) is one row per week after the partial
+    top-1, so windows are bounded by the number of weeks.
+    """
+    keys = [F.col("id").alias("store_id"), F.col("itemid").alias("item_id")]
+    by_week = Window.partitionBy(*SPAN_KEY).orderBy("from_week")
+    newest = top_per_group(purchases, ["id", "itemid", "week_index"], NEWEST, descending=True)
+    bought = (newest.select(*keys, F.col("week_index").alias("from_week"), F.struct(*_VALUES).alias("bought"))
+              .withColumn("to_week", F.coalesce(F.lead("from_week").over(by_week) - 1, F.lit(last_week))))
+    oldest = (top_per_group(counts, ["id", "itemid"], NEWEST, descending=False)
+              .select(*keys, F.col("week_index").alias("count_week"), F.struct(*_VALUES).alias("counted")))
+    starts = bought.groupBy(*SPAN_KEY).agg(F.min("from_week").alias("first_week"))
+    before = (oldest.join(starts, SPAN_KEY, "left")
+              .select(*SPAN_KEY, F.col("count_week").alias("from_week"),
+                      F.coalesce(F.col("first_week") - 1, F.lit(last_week)).alias("to_week"), F.col("counted").alias("v")))
+    free = F.coalesce(F.col("bought.base_cost") == 0, F.lit(False)) & F.col("count_week").isNotNull()
+    halves = F.when(free, F.array(
+        F.struct("from_week", F.least("to_week", F.col("count_week") - 1).alias("to_week"), F.col("bought").alias("v")),
+        F.struct(F.greatest("from_week", "count_week").alias("from_week"), "to_week", F.col("counted").alias("v")))).otherwise(
+        F.array(F.struct("from_week", "to_week", F.col("bought").alias("v"))))
+    after = bought.join(oldest, SPAN_KEY, "left").select(*SPAN_KEY, F.inline(halves))
+    pieces = (before.unionByName(after).filter(F.col("from_week") <= F.col("to_week")).filter(F.col("v.base_uofm").isNotNull())
+              .select(*SPAN_KEY, "from_week", "to_week", "v.date", "v.item", "v.base_uofm", F.round("v.base_cost", 4).alias("base_cost")))
+    # neighbours with the same values are one run
+    went_on = F.lag("to_week").over(by_week) == F.col("from_week") - 1
+    for c in _VALUES:
+        went_on = went_on & F.lag(c).over(by_week).eqNullSafe(F.col(c))
+    runs = pieces.withColumn("new", F.when(F.coalesce(went_on, F.lit(False)), 0).otherwise(1)).withColumn("run", F.sum("new").over(by_week))
+    return (runs.groupBy(*SPAN_KEY, "run").agg(F.min("from_week").alias("from_week"), F.max("to_week").alias("to_week"),
+                                                *[F.first(c).alias(c) for c in _VALUES]).drop("run"))
+
+
+def expand_weeks(spans: DataFrame) -> DataFrame:
+    """One row per week of every span, with the fiscal attributes of the week."""
+    weeks = spans.withColumn("week_index", F.explode(F.sequence("from_week", "to_week"))).drop("from_week", "to_week")
+    return _finish(weeks.withColumnsRenamed({"store_id": "id", "item_id": "itemid"}))
+
+
+def last_week(mart: Mart) -> int:
+    """The last fiscal week of the data (-1 without data)."""
+    last = mart.calendar.agg(F.max("week_index")).first()[0]
+    return -1 if last is None else int(last)
+
+
+def weekly_cost_spans(mart: Mart) -> DataFrame:
+    """DOM-06 / JN-14 for every fiscal week of the data, as runs of weeks."""
+    return cost_spans(_costed_purchases(mart), _stock_counts(mart), last_week(mart))
+
+
+def refresh_spans(spans: DataFrame, touched: DataFrame, purchases: DataFrame, counts: DataFrame,
+                  last_before: int, last_week: int) -> DataFrame:
+    """INC-03: the spans after a batch, from the spans before it.
+
+    ``touched`` (store_id, item_id) are the keys that the batch holds;
+    ``purchases`` and ``counts`` are the facts after it. Only the touched keys'
+    facts are read into new spans; all other spans are kept, those that were open
+    at ``last_before`` go on to ``last_week``.
+    """
+    keys = touched.select(*SPAN_KEY).distinct()
+    here = keys.withColumnsRenamed({"store_id": "id", "item_id": "itemid"})
+    new = cost_spans(purchases.join(here, ["id", "itemid"], "left_semi"), counts.join(here, ["id", "itemid"], "left_semi"), last_week)
+    open_end = F.when(F.col("to_week") == last_before, F.lit(last_week)).otherwise(F.col("to_week"))
+    return spans.join(keys, SPAN_KEY, "left_anti").withColumn("to_week", open_end).select(*new.columns).unionByName(new)
+
+
+def is_late() -> Column:
+    """The lines of the late batch: every sixteenth transaction."""
+    return F.col("transactionid") % 16 == 5
+
+
+def weekly_cost_increment(mart: Mart) -> DataFrame:
+    """INC-03: spans of all but the late transactions, then the late batch applied
+    to them key by key. Equals the run over all transactions."""
+    purchases, counts, last = _costed_purchases(mart), _stock_counts(mart), last_week(mart)
+    table = cost_spans(purchases.filter(~is_late()), counts.filter(~is_late()), last)
+    keys = [F.col("id").alias("store_id"), F.col("itemid").alias("item_id")]
+    batch = purchases.filter(is_late()).select(*keys).unionByName(counts.filter(is_late()).select(*keys))
+    return refresh_spans(table, batch, purchases, counts, last, last)

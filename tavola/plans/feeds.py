@@ -15,6 +15,8 @@ from tavola.functions.nested import pick
 from tavola.functions.strings import last_part, split_last, split_parts
 from tavola.operators import merge
 from tavola.operators.joins import validate_fk
+from tavola.operators.recursive import materialise
+from tavola.operators.unitgraph import SAME_FACTOR, resolve_units
 from tavola.operators.windows import dedup
 from tavola.plans.maintenance import BATCH_START, TARGET_END
 from tavola.sources.mart import GL_ACCOUNTS, TXN_TYPE, Mart
@@ -157,3 +159,74 @@ def purchase_items(mart: Mart) -> DataFrame:
     before = part.filter(p % 3 == 0).select(p.alias("item_id"), F.lit("old").alias("name"), F.lit("kept").alias("category1"),
                                             F.lit("old").alias("category2"), F.lit(False).alias("key_item"))
     return merge.upsert(before, batch, ["item_id"], update_cols=["name", "category2", "key_item"])
+
+
+# -- DOM-20: units of measure -----------------------------------------------------------
+# Base units, and the measure type of each.
+BASE_UNITS = {"Each": "Each", "OZ-wt": "Weight", "OZ-fl": "Volume"}
+
+
+def landed_units(mart: Mart) -> DataFrame:
+    """Unit records, one per part k and one per base unit.
+
+    Unit k is (k % 3 + 2) of unit k // 4, units up to 3 are that many of a base
+    unit. Units 50, 150, .. and their successors are defined by each other
+    (without contradiction for 50, 250, ..), units 75, 175, .. by nothing, 85,
+    185, .. with quantity 0 and 95, 195, .. by an unknown unit. Units up to 3 and
+    their multiples by four, plus every 37th unit (wrongly), also state how much
+    of which base they are.
+    """
+    k = F.col("p_partkey")
+    first = mart.raw("part").select("p_partkey").distinct()
+    def base(n):
+        return F.element_at(F.array(*map(F.lit, BASE_UNITS)), (n % 3 + 1).cast("int"))
+    rest = k % 100
+    other = (F.when(k <= 3, base(k)).when(rest == 50, F.concat(F.lit("U"), (k + 1).cast("string")))
+             .when(rest == 51, F.concat(F.lit("U"), (k - 1).cast("string"))).when(rest == 75, F.lit(None).cast("string"))
+             .when(rest == 95, F.lit("Unheard")).otherwise(F.concat(F.lit("U"), F.floor(k / 4).cast("long").cast("string"))))
+    qty = (F.when(rest == 50, 4.0).when(rest == 51, F.when((k - 1) % 200 == 50, 0.25).otherwise(0.5)).when(rest == 85, 0.0)
+           .otherwise((k % 3 + 2).cast("double")))
+    stated = F.when(k <= 3, k % 3 + 2).when((k % 4 == 0) & (k <= 12), (k % 3 + 2) * (k / 4 % 3 + 2)).when(k % 37 == 0, F.lit(1))
+    stated_base = F.when(k <= 3, base(k)).when((k % 4 == 0) & (k <= 12), base(F.floor(k / 4))) \
+                   .when(k % 37 == 0, F.lit("Each"))
+    def named(c):
+        return F.when(c.isNotNull(), F.struct(c.alias("name")))
+    made = first.select(F.struct(
+        k.alias("id"), F.concat(F.lit("U"), k.cast("string")).alias("name"), qty.alias("equivalentQuantity"),
+        named(other).alias("equivalentUnitOfMeasure"),
+        F.element_at(F.array(*map(F.lit, BASE_UNITS.values())), (k % 3 + 1).cast("int")).alias("measureType"),
+        named(stated_base).alias("baseUnitOfMeasure"), stated.cast("double").alias("baseQuantity"), (k % 9 != 0).alias("isActive")).alias("r"))
+    units = mart.spark.createDataFrame([(-i - 1, b, t) for i, (b, t) in enumerate(BASE_UNITS.items())], "id long, name string, kind string")
+    roots = units.select(F.struct(
+        "id", "name", F.lit(1.0).alias("equivalentQuantity"), named(F.lit(None).cast("string")).alias("equivalentUnitOfMeasure"),
+        F.col("kind").alias("measureType"), named(F.col("name")).alias("baseUnitOfMeasure"), F.lit(1.0).alias("baseQuantity"),
+        F.lit(True).alias("isActive")).alias("r"))
+    return made.unionByName(roots).select(F.to_json("r").alias("j"))
+
+
+UNIT_RECORD = ("id long, name string, equivalentQuantity double, equivalentUnitOfMeasure struct<name: string>, measureType string, "
+               "baseUnitOfMeasure struct<name: string>, baseQuantity double, isActive boolean")
+
+
+def units_table(mart: Mart) -> DataFrame:
+    """unitsofmeasure, all eight columns: upsert of the landed records on the id."""
+    batch = pick(landed_units(mart).select(F.from_json("j", UNIT_RECORD).alias("r")).select("r.*"), {
+        "uofm_id": "id", "name": "name", "equivalent_qty": "equivalentQuantity", "equivalent_uofm": "equivalentUnitOfMeasure.name",
+        "measure_type": "measureType", "base_uofm": "baseUnitOfMeasure.name", "base_qty": "baseQuantity", "active": "isActive"})
+    old = batch.filter("uofm_id % 3 = 0").withColumn("equivalent_qty", F.lit(-1.0)).withColumn("active", F.lit(False))
+    return merge.upsert(old, batch, ["uofm_id"])
+
+
+def units(mart: Mart, checkpoint: bool = True) -> DataFrame:
+    """The units with their factor to a base unit, and what is wrong with the others.
+
+    ``stated_ok`` compares the base and quantity that a record states with those
+    that its definition leads to (null where either is missing).
+    """
+    table = materialise(units_table(mart), checkpoint)
+    bases = table.filter(F.col("name").isin(*BASE_UNITS)).select(F.col("name").alias("unit"))
+    edges = table.select(F.col("name").alias("unit"), F.col("equivalent_uofm").alias("other"), F.col("equivalent_qty").alias("qty"))
+    found = resolve_units(edges, bases, checkpoint).withColumnRenamed("unit", "name").withColumnRenamed("base", "root")
+    same = (F.col("base_uofm") == F.col("root")) & (F.abs(F.log(F.col("base_qty") / F.col("factor"))) <= SAME_FACTOR)
+    return (table.join(found, "name").withColumn("stated_ok", same)
+            .withColumn("loop_factor", F.round("loop_factor", 9)))

@@ -97,12 +97,23 @@ def payment_ids(mart: Mart) -> DataFrame:
 # -- STR-14: known prefixes ------------------------------------------------------------
 def strip_known_prefix(df: DataFrame, col: str, prefixes: DataFrame, out: str) -> DataFrame:
     """STR-14: remove the longest known prefix (and the blank after it) from a
-    name; names without one stay. The join is on the first word, so only
-    prefixes that can match are compared."""
+    name; names without one stay, nulls too.
+
+    Names and prefixes are paths of words in a trie. Every distinct name emits
+    the hash of each of its proper word prefixes once, up to the depth of the
+    longest known prefix, and meets known prefixes of the same depth and hash;
+    equal texts are checked after the join. A first word that all names share is
+    no hot key, and a name costs as many rows as it has words.
+    """
     name = as_col(col)
-    known = prefixes.select(F.col(prefixes.columns[0]).alias("_p")).filter("_p <> ''").distinct().withColumn("_w", F.split("_p", " ")[0])
-    names = df.select(name.alias("_n")).filter(F.col("_n").isNotNull()).distinct().withColumn("_w", F.split("_n", " ")[0])
-    best = (names.join(known, "_w").filter(F.col("_n").startswith(F.concat("_p", F.lit(" "))))
+    known = (prefixes.select(F.col(prefixes.columns[0]).alias("_p")).filter("_p <> ''").distinct()
+             .withColumn("_w", F.split("_p", " ")).select("_p", F.size("_w").alias("_depth"), F.xxhash64("_w").alias("_hash")))
+    deepest = known.agg(F.max("_depth")).first()[0] or 0
+    names = df.select(name.alias("_n")).filter(F.col("_n").isNotNull()).distinct().withColumn("_w", F.split("_n", " "))
+    paths = (names.withColumn("_last", F.least(F.size("_w") - 1, F.lit(deepest))).filter("_last > 0")
+             .select("_n", "_w", F.explode(F.sequence(F.lit(1), F.col("_last"))).alias("_depth"))
+             .select("_n", "_depth", F.xxhash64(F.slice("_w", F.lit(1), F.col("_depth"))).alias("_hash")))
+    best = (paths.join(known, ["_depth", "_hash"]).filter(F.col("_n").startswith(F.concat("_p", F.lit(" "))))
                  .groupBy("_n").agg(F.max(F.length("_p")).alias("_l")))
     return (df.join(best, name == F.col("_n"), "left")
               .withColumn(out, F.when(F.col("_l").isNotNull(), F.expr(f"substring(`{col}`, _l + 2)")).otherwise(name)).drop("_n", "_l"))

@@ -30,7 +30,9 @@ ORACLE.update({
     "latest_item_price": C.latest_item_price(),
     "weekly_item_base_cost": C.weekly_item_base_cost(2000, 6, 2),
     "weekly_base_cost_year": C.weekly_base_cost_year((2000,)),
-    "weekly_base_cost_all": C.weekly_base_cost_all(),
+    "weekly_base_cost_all": C.weekly_cost_spans(),
+    "weekly_base_cost_by_store": C.weekly_base_cost_by_store(),
+    "weekly_cost_increment": C.weekly_cost_spans(),
 })
 
 from tavola_oracle import menu_sql as M  # noqa: E402
@@ -109,7 +111,7 @@ ORACLE.update({
     "feed_labor_detail": FD.labor_detail(), "feed_sales_detail": FD.sales_detail(),
     "feed_sales_employee": FD.summaries("click", "salesid"), "feed_sales_payment": FD.summaries("purchase", "salespaymentid"),
     "dss_list": FD.dss_list(), "dim_job_titles": FD.job_titles(), "dim_sales_accounts": FD.sales_accounts(),
-    "dim_purchase_items": FD.purchase_items(),
+    "dim_purchase_items": FD.purchase_items(), "dim_units": FD.units(),
 })
 
 from tavola_oracle import records_sql as RS  # noqa: E402
@@ -118,3 +120,7 @@ ORACLE.update({
     "menu_tree": RS.MENU_TREE, "pos_item_dictionary": RS.DICTIONARY, "store_config": RS.STORE_CONFIG,
     "daily_sales_totals": RS.DAILY_TOTALS, "payment_ids": RS.PAYMENT_IDS, "item_part_b": RS.PART_B,
 })
+
+from tavola_oracle import streams_sql as ST  # noqa: E402
+
+ORACLE["stream_sales_upsert"] = ST.sales_stream()

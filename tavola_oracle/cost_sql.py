@@ -67,7 +67,15 @@ def weekly_base_cost_year(years) -> str:
     return _weekly(f"year IN ({', '.join(str(y) for y in years)})")
 
 
-def weekly_base_cost_all() -> str:
+def weekly_base_cost_by_store() -> str:
     return f"""SELECT week_index, year, period, week, store_id, count(*) AS items,
            CAST(sum(CAST(base_cost AS DECIMAL(18, 4))) AS DOUBLE) AS base_cost
     FROM ({_weekly('true')}) q GROUP BY week_index, year, period, week, store_id"""
+
+
+def weekly_cost_spans() -> str:
+    """Runs of weeks with the same values, from the rows of every week."""
+    same = "store_id, item_id, date, item, base_uofm, base_cost"
+    return f"""SELECT {same}, CAST(min(week_index) AS INTEGER) AS from_week, CAST(max(week_index) AS INTEGER) AS to_week
+    FROM (SELECT *, week_index - row_number() OVER (PARTITION BY {same} ORDER BY week_index) AS island
+          FROM ({_weekly('true')}) q) r GROUP BY {same}, island"""

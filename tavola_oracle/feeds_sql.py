@@ -79,3 +79,42 @@ def purchase_items() -> str:
            CASE WHEN p_partkey % 3 = 0 THEN 'kept' WHEN p_size % 7 <> 0 THEN p_type END AS category1,
            CASE WHEN p_size % 6 <> 0 THEN p_brand END AS category2, p_size % 2 = 0 AS key_item
     FROM part"""
+
+
+def units() -> str:
+    bases = "VALUES ('Each', 'Each', -1), ('OZ-wt', 'Weight', -2), ('OZ-fl', 'Volume', -3)"
+    return f"""
+    WITH RECURSIVE b AS (SELECT * FROM ({bases}) AS t(name, kind, id)),
+    k AS (SELECT DISTINCT p_partkey AS k FROM part),
+    u AS (
+      SELECT k AS uofm_id, 'U' || k AS name,
+             CASE WHEN k % 100 = 50 THEN 4.0::DOUBLE WHEN k % 100 = 51 THEN CASE WHEN (k - 1) % 200 = 50 THEN 0.25::DOUBLE ELSE 0.5::DOUBLE END
+                  WHEN k % 100 = 85 THEN 0.0::DOUBLE ELSE (k % 3 + 2)::DOUBLE END AS equivalent_qty,
+             CASE WHEN k <= 3 THEN ['Each', 'OZ-wt', 'OZ-fl'][k % 3 + 1] WHEN k % 100 = 50 THEN 'U' || (k + 1) WHEN k % 100 = 51 THEN 'U' || (k - 1)
+                  WHEN k % 100 = 75 THEN NULL WHEN k % 100 = 95 THEN 'Unheard' ELSE 'U' || (k // 4) END AS equivalent_uofm,
+             ['Each', 'Weight', 'Volume'][k % 3 + 1] AS measure_type,
+             CASE WHEN k <= 3 THEN ['Each', 'OZ-wt', 'OZ-fl'][k % 3 + 1] WHEN k % 4 = 0 AND k <= 12 THEN ['Each', 'OZ-wt', 'OZ-fl'][k // 4 % 3 + 1]
+                  WHEN k % 37 = 0 THEN 'Each' END AS base_uofm,
+             CASE WHEN k <= 3 THEN k % 3 + 2 WHEN k % 4 = 0 AND k <= 12 THEN (k % 3 + 2) * (k // 4 % 3 + 2)
+                  WHEN k % 37 = 0 THEN 1 END::DOUBLE AS base_qty, k % 9 <> 0 AS active FROM k
+      UNION ALL SELECT id, name, 1.0::DOUBLE, NULL, kind, name, 1.0::DOUBLE, true FROM b),
+    walk(name, here, factor, path) AS (
+      SELECT name, name, 1.0::DOUBLE, [name] FROM u
+      UNION ALL
+      SELECT w.name, d.equivalent_uofm, w.factor * d.equivalent_qty, list_append(w.path, d.equivalent_uofm)
+      FROM walk w JOIN u d ON d.name = w.here
+      WHERE d.uofm_id >= 0 AND d.equivalent_uofm IS NOT NULL AND d.equivalent_qty > 0 AND NOT list_contains(w.path, d.equivalent_uofm)),
+    e AS (SELECT name, arg_max(here, len(path)) AS here, arg_max(factor, len(path)) AS factor FROM walk GROUP BY name),
+    s AS (
+      SELECT e.name, d.uofm_id < 0 AS found, e.here, e.factor,
+             CASE WHEN d.uofm_id < 0 THEN 'ok' WHEN d.name IS NULL THEN 'no base'
+                  WHEN d.equivalent_uofm IS NULL THEN 'no base'
+                  WHEN NOT d.equivalent_qty > 0 THEN CASE WHEN e.here = e.name THEN 'invalid quantity' ELSE 'no base' END
+                  WHEN d.equivalent_uofm <> e.name THEN 'leads into loop'
+                  WHEN abs(ln(e.factor * d.equivalent_qty)) <= 1e-9 THEN 'loop' ELSE 'contradictory loop' END AS status,
+             CASE WHEN d.equivalent_uofm = e.name AND d.equivalent_qty > 0 THEN e.factor * d.equivalent_qty END AS loop_factor
+      FROM e LEFT JOIN u d ON d.name = e.here)
+    SELECT u.*, CASE WHEN found THEN here END AS root, CASE WHEN found THEN factor END AS factor, status,
+           round(loop_factor, 9) AS loop_factor,
+           CASE WHEN found THEN base_uofm = here AND base_qty = factor END AS stated_ok
+    FROM u JOIN s USING (name)"""
