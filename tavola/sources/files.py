@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,33 +18,75 @@ from tavola.functions.nested import as_array
 from tavola.functions.strings import parse_money
 
 
+def _file_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines of files, big files split across tasks: value, _file, _block (where the line's split
+    starts) and _row, a number that grows along every block. Only ``\\n`` ends a line."""
+    return (spark.read.option("lineSep", "\n").text(path)
+            .withColumn("_file", F.col("_metadata.file_path"))
+            .withColumn("_block", F.col("_metadata.file_block_start"))
+            .withColumn("_row", F.monotonically_increasing_id()))
+
+
+def csv_records(spark: SparkSession, path: str) -> DataFrame:
+    """The records of CSV files, also where quoted fields hold line breaks: value, _file, _row, _nth.
+
+    A line break ends a record where the number of quotes before it in the file
+    is even. Quotes are counted per block of the file, a running sum over the
+    blocks (one row per block) says whether a block starts inside a quoted
+    field, and only blocks that hold or start in an open quote number their
+    lines with a window; all other lines are records as they are. Lines of one
+    record meet in a grouping, also across blocks. ``_row`` is the number of the
+    record's first line; ``_nth`` counts the records of a file's first block from
+    1 (null in later blocks). A carriage return before the end of a record goes.
+
+    Quotes follow RFC 4180: a field that holds one is quoted, and doubles it. The
+    rest of a file after a quote that nothing closes is one record.
+    """
+    quotes = (F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))) % 2
+    lines = _file_lines(spark, path).withColumn("_odd", quotes)
+    along = Window.partitionBy("_file").orderBy("_block")
+    earlier = along.rowsBetween(Window.unboundedPreceding, -1)
+    blocks = (lines.groupBy("_file", "_block").agg(F.sum("_odd").alias("odd"), F.min("_row").alias("_first"))
+              .withColumn("_open", F.coalesce(F.sum("odd").over(earlier), F.lit(0)) % 2))
+    marked = lines.join(blocks.select("_file", "_block", "_first", "_open", ((F.col("odd") == 0) & (F.col("_open") == 0)).alias("_plain")),
+                        ["_file", "_block"])
+    plain = marked.filter("_plain").select(
+        "value", "_file", "_row", F.when(F.col("_block") == 0, F.col("_row") - F.col("_first") + 1).alias("_nth"))
+    inside = Window.partitionBy("_file", "_block").orderBy("_row")
+    before = F.coalesce(F.sum("_odd").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) + F.col("_open")
+    mixed = marked.filter("NOT _plain").withColumn("_starts", before % 2 == 0)
+    mixed = (mixed.withColumn("_record", F.last(F.when(F.col("_starts"), F.col("_row")), ignorenulls=True).over(inside))
+             .withColumn("_nth", F.when(F.col("_block") == 0, F.sum(F.col("_starts").cast("int")).over(inside))))
+    # a block that starts inside a record continues the last one that an earlier block started
+    carried = (marked.filter("_plain").groupBy("_file", "_block").agg(F.max("_row").alias("last"))
+               .unionByName(mixed.groupBy("_file", "_block").agg(F.max("_record").alias("last")))
+               .select("_file", "_block", F.last("last", ignorenulls=True).over(earlier).alias("_carried")))
+    mixed = mixed.join(carried, ["_file", "_block"], "left").withColumn("_record", F.coalesce("_record", "_carried"))
+    whole = F.col("_starts") & (F.col("_odd") == 0)
+    single = mixed.filter(whole).select("value", "_file", "_row", "_nth")
+    joined = (mixed.filter(~whole).groupBy("_file", F.col("_record").alias("_row"))
+              .agg(F.array_sort(F.collect_list(F.struct("_block", F.col("_row").alias("r"), "value"))).alias("l"),
+                   F.min("_nth").alias("_nth"))
+              .select(F.array_join(F.col("l.value"), "\n").alias("value"), "_file", "_row", "_nth"))
+    rows = plain.unionByName(single).unionByName(joined)
+    return rows.withColumn("value", F.regexp_replace("value", r"\r$", ""))
+
+
 def read_report_csv(spark: SparkSession, path: str, schema: T.StructType, skip: int = 3,
                     columns: Sequence[str] | None = None) -> DataFrame:
     """SRC-01: report CSV with ``skip`` banner lines, a header on the next
     line and numbers written with thousands commas / parentheses.
 
-    The file is read as lines (``spark.read.text``, one line per row, big
-    files split across tasks); the banner and header lines are the first
-    ``skip + 1`` lines of each file: lines of its first block (block start 0),
-    found by the smallest row ids there (one row per file, joined back to the
-    lines of first blocks only). Every field is parsed as
-    text by ``from_csv`` and numeric fields through ``parse_money``; the row
-    id is kept as ``_ord`` (arrival order). Limitation: no line breaks
-    inside quoted fields.
+    Quoted fields may hold line breaks (``csv_records``); big files are read by
+    many tasks. The banner and the header are the first ``skip + 1`` records of
+    each file and must lie in its first block. Every field is parsed as text by
+    ``from_csv`` and numeric fields through ``parse_money``; ``_ord`` is the
+    arrival order. Blank lines are no rows.
     """
     names = [f.name for f in schema.fields]
     text_schema = ", ".join(f"`{n}` STRING" for n in names)
-    lines = (spark.read.text(path)
-             .withColumn("_file", F.col("_metadata.file_path"))
-             .withColumn("_block", F.col("_metadata.file_block_start"))
-             .withColumn("_row", F.monotonically_increasing_id()))
-    head = lines.filter("_block = 0")
-    first = head.groupBy("_file").agg(F.min("_row").alias("_start"))
-    body = (lines.filter("_block > 0").select("value", "_row")
-                 .unionByName(head.join(first, "_file").filter(F.col("_row") > F.col("_start") + skip)
-                                  .select("value", "_row"))
-                 .filter(F.trim("value") != ""))
-    parsed = body.select(F.from_csv("value", text_schema).alias("r"), "_row").select("r.*", "_row")
+    body = csv_records(spark, path).filter(~F.coalesce(F.col("_nth") <= skip + 1, F.lit(False))).filter(F.trim("value") != "")
+    parsed = body.select(F.from_csv("value", text_schema, {"escape": '"'}).alias("r"), "_row").select("r.*", "_row")
     out = []
     for f in schema.fields:
         c = F.col(f"`{f.name}`")
