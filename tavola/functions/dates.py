@@ -64,6 +64,24 @@ def business_day_start(d, tz: str, start_hour: int = 4) -> Column:
     return F.to_utc_timestamp(local, tz)
 
 
+def iso_with_offset(utc, tz: str) -> Column:
+    """A UTC wall-clock timestamp as local time of ``tz`` with its offset
+    (``2024-01-31T04:00:00.000-0500``)."""
+    utc = as_col(utc)
+    local = F.from_utc_timestamp(utc, tz)
+    minutes = ((F.unix_timestamp(local) - F.unix_timestamp(utc)) / 60).cast("int")
+    offset = F.format_string("%s%02d%02d", F.when(minutes < 0, "-").otherwise("+"), F.floor(F.abs(minutes) / 60).cast("int"),
+                             F.abs(minutes) % 60)
+    return F.concat(F.date_format(local, "yyyy-MM-dd'T'HH:mm:ss.SSS"), offset)
+
+
+def business_day_bounds(d, tz: str, start_hour: int = 4) -> tuple[Column, Column]:
+    """DT-07: start of business day ``d`` and of the next one, as ISO text with
+    offset. Days on which the clock changes have 23 or 25 hours."""
+    return (iso_with_offset(business_day_start(d, tz, start_hour), tz),
+            iso_with_offset(business_day_start(F.date_add(as_col(d), 1), tz, start_hour), tz))
+
+
 def since(c, as_of, months: int = 0, days: int = 0) -> Column:
     """FLT-13: ``c >= as_of - months - days`` with ``as_of`` a parameter
     (never the wall clock, so results are reproducible)."""

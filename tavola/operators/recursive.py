@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tavola.session import ensure_checkpoint_dir
@@ -124,23 +124,21 @@ def find_cycles(edges: DataFrame, checkpoint: bool = True) -> DataFrame:
         cur = alive
 
 
-def explode_levels(df: DataFrame, children, emit, key_cols, checkpoint: bool = True) -> DataFrame:
-    """REC-03/04: unbounded-depth tree stored as nested JSON text.
+def explode_levels(first: DataFrame, children, emit, more: Column, checkpoint: bool = True) -> DataFrame:
+    """REC-03/04: a tree of any depth, level by level.
 
-    ``df`` has the key columns and a ``node`` column holding one JSON object
-    per row. Each level emits ``emit(df_level)`` rows and descends into
-    ``children(df_level)`` (a DataFrame of the same shape, one row per child
-    object); the loop ends when a level is empty. Each level is one
-    ``explode`` - no per-row Python.
+    ``first`` holds the nodes of level one, already taken apart: the values of a
+    node as columns, what hangs below it as a VARIANT column, so that the document
+    was parsed once, when it was read. ``emit(level)`` gives the rows of a level
+    and ``children(level)`` the nodes of the next one, in the shape of ``first``;
+    nodes with children are those where ``more`` holds. Each level is written once
+    (``checkpoint``) and read for its rows, its children and the test for the end.
     """
-    out: DataFrame | None = None
-    level = materialise(df.withColumn("level", F.lit(1)), checkpoint)
-    depth = 1
-    while not level.isEmpty():
-        rows = emit(level)
-        out = rows if out is None else out.unionByName(rows)
-        level = materialise(children(level).withColumn("level", F.lit(depth + 1)), checkpoint)
-        depth += 1
-    if out is None:
-        out = emit(level)
-    return out
+    level = materialise(first, checkpoint)
+    out = emit(level)
+    while True:
+        parents = level.filter(more)
+        if parents.isEmpty():
+            return out
+        level = materialise(children(parents), checkpoint)
+        out = out.unionByName(emit(level))

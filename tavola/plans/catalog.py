@@ -310,3 +310,20 @@ from tavola.plans import streams  # noqa: E402
 def _stream(m: Mart) -> DataFrame:
     """INC-01/02: landed deliveries caught up by a stream, late corrections included."""
     return streams.sales_stream(m)
+
+
+# -- checks, reports and column work --------------------------------------------------
+from tavola.plans import checks, cleaning  # noqa: E402
+
+for _name, _fn in [
+    ("menu_report", lambda m: menu.menu_report(m, menu.specialty_items(m))),
+    ("menu_report_by_quantity", lambda m: menu.menu_report(m, menu.specialty_items(m), "quantity")),
+    ("uncategorised_top25_quantity", lambda m: menu.uncategorised_items(m, menu.specialty_items(m), "quantity", 25)),
+    ("check_counts", checks.check_counts), ("quarantined_lines", checks.quarantined_lines),
+    ("accepted_totals", checks.accepted_totals), ("null_lines", checks.null_lines), ("unmapped_units", checks.unmapped_units),
+    ("received_lines", cleaning.received_lines), ("store_sums", cleaning.store_sums), ("store_means", cleaning.store_means),
+    ("orders_with_customer", cleaning.orders_with_customer), ("order_weeks", cleaning.order_weeks),
+    ("business_days", cleaning.business_days), ("payment_rows", cleaning.payment_rows), ("budget_long", cleaning.budget_long),
+    ("item_labels", cleaning.item_labels),
+]:
+    query(_name)(_fn)

@@ -17,6 +17,7 @@ from tavola.functions.numeric import rating, safe_ratio
 from tavola.functions.strings import strip_modifiers
 from tavola.operators.aggregates import with_totals
 from tavola.operators.filters import remove_special
+from tavola.operators.ordering import number_rows
 from tavola.operators.windows import vs_group_mean
 from tavola.sources.mart import Mart
 
@@ -137,6 +138,21 @@ def menu_rating_totals(mart: Mart, exclusions: DataFrame | None) -> DataFrame:
     return _rounded(out, MEASURE_COLS)
 
 
+REPORT_ORDER = {"sales": [("profit", "desc"), ("quantity", "desc")], "quantity": [("quantity", "desc"), ("profit", "desc")]}
+
+
+def menu_report(mart: Mart, exclusions: DataFrame | None, sort_by: str = "sales") -> DataFrame:
+    """SRT-01/02 / SNK-04: the rated items as the stores' report prints them.
+
+    Stores and categories ascend, a category is closed by its totals row, items
+    descend by profit and quantity (or the other way round), ties by name.
+    ``line`` is the line number over the whole report.
+    """
+    rows = menu_rating_totals(mart, exclusions).withColumn("closes", F.col("row_type") == "Total")
+    keys = ["location", "category2", "closes", *REPORT_ORDER[sort_by], "menu_item", "menu_price", "menu_cost", "sales"]
+    return number_rows(rows, keys, "line").drop("closes")
+
+
 def uncategorised_items(mart: Mart, exclusions: DataFrame | None, sort_by: str = "sales",
                         k: int = 25) -> DataFrame:
     """DOM-04 / DQ-06: items without a menu category, summed over stores and

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tavola.functions.dates import yyyymmdd_to_date
-from tavola.functions.nested import flatten, json_array_elements
+from tavola.functions.nested import flatten
 from tavola.operators.aggregates import any_element, sum_array
 from tavola.operators.filters import not_in, remove_special
 from tavola.operators.recursive import explode_levels, materialise
@@ -150,10 +150,9 @@ LINE_FIELDS = [
     T.StructField("quantity", T.DoubleType()), T.StructField("receiptLinePrice", T.DoubleType()),
     T.StructField("preDiscountPrice", T.DoubleType()), T.StructField("price", T.DoubleType()),
     T.StructField("appliedDiscounts", DISCOUNTS),
-    # kept as raw JSON text: the modifier tree has no fixed depth
-    T.StructField("modifiers", T.StringType()),
+    # a variant: the modifier tree has no fixed depth
+    T.StructField("modifiers", T.VariantType()),
 ]
-MODIFIER_SCHEMA = T.StructType(LINE_FIELDS + [T.StructField("optionGroupPricingMode", T.StringType())])
 SELECTION_SCHEMA = T.StructType(LINE_FIELDS + [T.StructField("voided", T.BooleanType())])
 ORDER_SCHEMA = T.StructType([
     T.StructField("businessDate", T.IntegerType()), T.StructField("store_id", T.LongType()),
@@ -167,6 +166,21 @@ def _zero(c) -> F.Column:
     return F.coalesce(F.col(c), F.lit(0.0))
 
 
+def _list(c) -> F.Column:
+    """The elements of a variant list; null for anything else."""
+    return F.try_variant_get(c, "$", "array<variant>")
+
+
+def _modifier(m) -> list[F.Column]:
+    """The fields of a modifier; a value of another type is null."""
+    def get(path: str, kind: str) -> F.Column:
+        return F.try_variant_get(m, f"$.{path}", kind)
+    return [get("displayName", "string").alias("displayName"), F.struct(get("item.guid", "string").alias("guid")).alias("item"),
+            *[get(c, "double").alias(c) for c in ("quantity", "receiptLinePrice", "preDiscountPrice", "price")],
+            get("appliedDiscounts", "array<struct<discountAmount:double>>").alias("appliedDiscounts"),
+            get("optionGroupPricingMode", "string").alias("optionGroupPricingMode"), get("modifiers", "variant").alias("modifiers")]
+
+
 def selections(orders_json: DataFrame) -> DataFrame:
     """NST-03 / FLT-15: orders -> checks -> selections, without voided
     selections and selections without an item."""
@@ -177,19 +191,17 @@ def selections(orders_json: DataFrame) -> DataFrame:
         "date", "store_id", "s.*")
     return (sel.filter(~F.coalesce(F.col("voided"), F.lit(False)))
                .filter(F.col("item.guid").isNotNull())
-               .withColumn("mods", F.from_json("modifiers", T.ArrayType(MODIFIER_SCHEMA)))
+               .withColumn("mods", F.transform(_list("modifiers"), lambda m: F.struct(*_modifier(m))))
                .withColumn("discount", sum_array("appliedDiscounts", "discountAmount"))
                .withColumn("size_priced", any_element(
                    "mods", lambda m: m["optionGroupPricingMode"] == F.lit(REPLACES_PRICE))))
 
 
 def _modifier_level(level: DataFrame) -> DataFrame:
-    """One modifier level: each element of the ``modifiers`` JSON array,
-    parsed; modifiers without an item are dropped together with their
-    children."""
-    return (level.select("date", "store_id", F.explode(json_array_elements("modifiers")).alias("m"))
-                 .select("date", "store_id", F.from_json("m", MODIFIER_SCHEMA).alias("m"))
-                 .select("date", "store_id", "m.*")
+    """One modifier level: each element of the ``modifiers`` list, taken apart;
+    modifiers without an item are dropped together with their children."""
+    return (level.select("date", "store_id", F.explode(_list("modifiers")).alias("m"))
+                 .select("date", "store_id", *_modifier(F.col("m")))
                  .filter(F.col("item.guid").isNotNull()))
 
 
@@ -199,8 +211,9 @@ def product_mix_rows(mart: Mart, checkpoint: bool = True) -> DataFrame:
     Size-priced selections (any modifier replaces the price) emit only their
     priced modifiers, named "item modifier", at gross / quantity, carrying
     the selection's discount; other selections emit themselves and every
-    modifier at any depth. The orders are read and parsed once: their
-    selections are checkpointed, and the three kinds of rows start from them.
+    modifier at any depth. The orders are read and parsed once, modifiers into a
+    VARIANT: their selections are checkpointed, and the three kinds of rows start
+    from them.
     """
     sel = materialise(selections(landed_orders(mart)), checkpoint)
     size_rows = (sel.filter("size_priced")
@@ -222,18 +235,15 @@ def product_mix_rows(mart: Mart, checkpoint: bool = True) -> DataFrame:
                              "discount")
 
     def emit(level: DataFrame) -> DataFrame:
-        return _modifier_level(level).select(
+        return level.select(
             F.col("item.guid").alias("item_guid"), "date", "store_id",
             F.coalesce("displayName", F.lit("Unknown Modifier")).alias("item_name"),
             _zero("quantity").alias("qty"), _zero("receiptLinePrice").alias("menu"),
             _zero("preDiscountPrice").alias("gross"), _zero("price").alias("net"),
             sum_array("appliedDiscounts", "discountAmount").alias("discount"))
 
-    def children(level: DataFrame) -> DataFrame:
-        return _modifier_level(level).select("date", "store_id", "modifiers")
-
-    tree = plain.filter(F.col("modifiers").isNotNull()).select("date", "store_id", "modifiers")
-    mod_rows = explode_levels(tree, children, emit, ["date", "store_id"], checkpoint=checkpoint)
+    more = F.size(_list("modifiers")) > 0
+    mod_rows = explode_levels(_modifier_level(plain.filter(more)), _modifier_level, emit, more, checkpoint)
     return item_rows.unionByName(size_rows).unionByName(mod_rows.select(*ROW_COLS))
 
 

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tavola.functions.nested import json_array_elements, pick
+from tavola.functions.nested import pick
 from tavola.functions.strings import default_text
 from tavola.functions.util import as_col
 from tavola.operators.recursive import explode_levels
@@ -33,18 +33,24 @@ def landed_menus(mart: Mart) -> DataFrame:
 def flatten_menu(menus: DataFrame, checkpoint: bool = True) -> DataFrame:
     """REC-04: every item of a menu with the path of its groups ("A > B"), for
     trees of any depth."""
-    top = menus.withColumn("menu", F.get_json_object("node", "$.name")).withColumn("path", F.col("menu"))
+    def node(v, path, *keep):
+        return [*keep, path.alias("path"), F.try_variant_get(v, "$.menuItems", "array<variant>").alias("items"),
+                F.try_variant_get(v, "$.menuGroups", "array<variant>").alias("groups")]
+
+    def name(v):
+        return F.try_variant_get(v, "$.name", "string")
 
     def emit(level: DataFrame) -> DataFrame:
-        rows = level.select("menu_id", "menu", "path", F.explode(json_array_elements(F.get_json_object("node", "$.menuItems"))).alias("i"))
-        return rows.select("menu_id", "menu", "path", *[F.get_json_object("i", f"$.{k}").alias(n) for k, n in
+        rows = level.select("menu_id", "menu", "path", F.explode("items").alias("i"))
+        return rows.select("menu_id", "menu", "path", *[F.try_variant_get("i", f"$.{k}", "string").alias(n) for k, n in
                                                        (("name", "item"), ("posName", "pos_name"), ("kitchenName", "kitchen_name"))])
 
     def children(level: DataFrame) -> DataFrame:
-        down = level.select("menu_id", "menu", "path", F.explode(json_array_elements(F.get_json_object("node", "$.menuGroups"))).alias("node"))
-        return down.withColumn("path", F.concat_ws(" > ", "path", F.get_json_object("node", "$.name")))
+        down = level.select("menu_id", "menu", "path", F.explode("groups").alias("v"))
+        return down.select(*node(F.col("v"), F.concat_ws(" > ", "path", name("v")), "menu_id", "menu"))
 
-    return explode_levels(top, children, emit, ["menu_id"], checkpoint)
+    parsed = menus.select("menu_id", F.try_parse_json("node").alias("v")).withColumn("menu", name("v"))
+    return explode_levels(parsed.select(*node(F.col("v"), F.col("menu"), "menu_id", "menu")), children, emit, F.size("groups") > 0, checkpoint)
 
 
 def menu_tree(mart: Mart) -> DataFrame:

@@ -7,6 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tavola.operators.aggregates import with_totals
+from tavola.operators.ordering import sort_keys
+
 
 def append(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     """SNK-01: append to a table directory."""
@@ -33,13 +36,25 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
 
 
 def write_report(df: DataFrame, path: str, partition_by: Sequence[str] = ("location", "category2"),
-                 order_by: Sequence = ()) -> None:
-    """SNK-04: one output folder per store and category (the workbook's
-    sheets); rows sorted inside each file. Rows are dealt by range over the
-    folder and a row salt, so a large folder gets several tasks and files."""
-    out = df.withColumn("_salt", F.rand(7))
-    out = out.repartitionByRange(*partition_by, "_salt").sortWithinPartitions(*partition_by, *order_by)
-    out = out.drop("_salt")
+                 order_by: Sequence = (), sections: Sequence[str] = (), totals: Sequence[str] = (),
+                 ratios: dict[str, tuple[str, str, float]] | None = None) -> None:
+    """SNK-04: one output folder per store and category (the workbook's sheets),
+    sorted by ``order_by`` (names or (name, "desc")) end to end: read in the order of
+    their names, the files of a folder are the sorted rows.
+
+    With ``sections`` a folder holds its sections one after the other, each closed
+    by a totals row (``row_type`` "Total") of the measures ``totals`` and the
+    ``ratios`` of ``with_totals``. Rows are dealt by ranges of the whole sort order,
+    ties by all columns, so a large folder gets several tasks and files, and a
+    task that runs again gets the same rows.
+    """
+    folders = [*partition_by, *sections]
+    keys = [*folders]
+    if totals:
+        df = with_totals(df, folders, totals, ratios)
+        keys.append((F.col("row_type") == "Total"))
+    ties = [c for c in df.columns if c not in folders]
+    out = df.orderBy(*sort_keys([*keys, *order_by, F.xxhash64(*ties)]))
     out.write.mode("overwrite").option("header", True).partitionBy(*partition_by).csv(path)
 
 

@@ -124,3 +124,14 @@ ORACLE.update({
 from tavola_oracle import streams_sql as ST  # noqa: E402
 
 ORACLE["stream_sales_upsert"] = ST.sales_stream()
+
+from tavola_oracle import checks_sql as CK  # noqa: E402
+
+ORACLE.update({
+    "menu_report": M.menu_report(), "menu_report_by_quantity": M.menu_report("quantity", "profit"),
+    "uncategorised_top25_quantity": M.uncategorised_top25("quantity"),
+    "check_counts": CK.CHECK_COUNTS, "quarantined_lines": CK.QUARANTINED, "accepted_totals": CK.ACCEPTED, "null_lines": CK.NULL_LINES,
+    "unmapped_units": CK.UNMAPPED, "received_lines": CK.RECEIVED, "store_sums": CK.STORE_SUMS, "store_means": CK.STORE_MEANS,
+    "orders_with_customer": CK.ORDERS_CUSTOMER, "order_weeks": CK.ORDER_WEEKS, "business_days": CK.business_days(),
+    "payment_rows": CK.PAYMENT_ROWS, "budget_long": D.budget_long(), "item_labels": CK.ITEM_LABELS,
+})

@@ -73,6 +73,13 @@ def budget_unpivot() -> str:
                               AND s.year = grid.year AND s.month = grid.period"""
 
 
+def budget_long() -> str:
+    long = budget_unpivot().split("SELECT grid.name AS location", 1)[0]
+    return long + f"""SELECT grid.name, grid.account AS "Account", grid.year, 'Period ' || lpad(CAST(grid.period AS VARCHAR), 2, '0') AS period_name,
+           CASE WHEN grid.period = 13 THEN 0.0 ELSE {R('s.amount', 2)} END AS amount
+    FROM grid LEFT JOIN sums s ON s.name = grid.name AND s.account = grid.account AND s.year = grid.year AND s.month = grid.period"""
+
+
 def item_name_parts() -> str:
     full = "(p_brand || ' - ' || p_type || ' - ' || p_name)"
     cn = "(CASE WHEN p_size % 2 = 0 THEN 'Casual' ELSE 'Steakhouse' END || ' - ' || p_name)"

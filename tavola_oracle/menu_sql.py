@@ -98,7 +98,14 @@ def menu_rating_totals() -> str:
           FROM rated GROUP BY 1, 2)"""
 
 
-def uncategorised_top25() -> str:
+def menu_report(first: str = "profit", second: str = "quantity") -> str:
+    order = f"""location, category2, row_type = 'Total', {first} DESC NULLS LAST, {second} DESC NULLS LAST,
+                menu_item NULLS LAST, menu_price NULLS LAST, menu_cost NULLS LAST, sales NULLS LAST"""
+    with_, rows = menu_rating_totals().split("SELECT *, 'item' AS row_type", 1)
+    return with_ + f"SELECT *, row_number() OVER (ORDER BY {order}) AS line FROM (SELECT *, 'item' AS row_type" + rows + ") q"
+
+
+def uncategorised_top25(by: str = "sales") -> str:
     sums = ", ".join(f"{R(f'COALESCE(sum({c}), 0.0)', 4)} AS {c}" for c in MEASURES)
     return ctes("product_mix", "menu_cost", "restaurants", extra={
         "mix": _mix(False),
@@ -110,4 +117,4 @@ def uncategorised_top25() -> str:
              "FROM m GROUP BY menu_item",
     }) + f"""
     SELECT menu_item, {', '.join(f'{R(c, 4)} AS {c}' for c in MEASURES)}
-    FROM s ORDER BY sales DESC, menu_item LIMIT 25"""
+    FROM s ORDER BY {by} DESC, menu_item LIMIT 25"""
