@@ -31,14 +31,11 @@ def receiving_lines(mart: Mart) -> DataFrame:
     returns written in parentheses (lines at a discount of 10 % here)."""
     nation = mart.raw("nation").select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("VendorName"))
     vendor = mart.raw("supplier").select(F.col("s_suppkey").alias("id"), "s_nationkey").join(nation, "s_nationkey")
-    back = mart.raw("lineitem").select(F.col("l_orderkey").alias("transactionid"), F.col("l_linenumber").alias("lineid"),
-                                       F.col("l_partkey").alias("itemid"), "l_discount").groupBy(
-        "transactionid", "lineid", "itemid").agg(F.max("l_discount").alias("_d"))
     q = F.format_number("quantity", 2)
-    return (mart.purchases.join(vendor, "id").join(back, ["transactionid", "lineid", "itemid"])
+    return (mart.purchases.join(vendor, "id")
             .select(F.col("item").alias("ItemName"), F.col("store").alias("LocationName"), "VendorName",
                     F.col("uofm").alias("PurchaseUnit"), "date", "transactionid", "lineid",
-                    F.when(F.col("_d") >= 0.1, F.concat(F.lit("("), q, F.lit(")"))).otherwise(q).alias("Quantity"),
+                    F.when(F.col("discount") >= 0.1, F.concat(F.lit("("), q, F.lit(")"))).otherwise(q).alias("Quantity"),
                     F.format_number("amount", 2).alias("ExtPrice")))
 
 

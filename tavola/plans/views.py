@@ -83,18 +83,22 @@ def stockcount_monthly(mart: Mart, as_of: str, days: int = 30) -> DataFrame:
     """VW-04: every tracked (item, store) for each of the last ``days`` days,
     with the counted total or 0 (gap fill).
 
-    The date grid is generated per item row (``explode(sequence)``), not by a
-    cross join; the counts join on the full (item, store, date) key.
+    One pass over the counts: a pair is tracked when it was ever counted, and
+    carries its totals of the window, at most one per day, from which the days are
+    generated (``inline`` over a date sequence).
     """
-    start = F.date_sub(F.to_date(F.lit(as_of)), days - 1)
-    grid = mart.inv_items.select(
-        F.explode(F.sequence(start, F.to_date(F.lit(as_of)))).alias("date"),
-        F.col("id").alias("item_id"), "item_name", "store_id")
-    counts = (mart.inv_count.withColumnRenamed("trans_date", "date")
-              .filter(F.col("date").between(start, F.to_date(F.lit(as_of)))))
-    return (grid.join(counts, ["item_id", "store_id", "date"], "left")
-                .select("date", "item_id", "item_name", "store_id",
-                        F.round(F.coalesce(F.col("count_total"), F.lit(0.0)), 4).alias("count_total")))
+    end = F.to_date(F.lit(as_of))
+    start = F.date_sub(end, days - 1)
+    counted = mart.stock_count("Stock Count").filter(F.col("category1") == "Food")
+    pair = [F.col("itemid").alias("item_id"), F.col("item").alias("item_name"), F.col("id").alias("store_id")]
+    daily = (counted.select(*pair, F.when(F.col("date").between(start, end), F.col("date")).alias("day"), "quantity")
+             .groupBy("item_id", "item_name", "store_id", "day").agg(F.sum("quantity").alias("total")))
+    totals = F.map_from_entries(F.collect_list(F.when(F.col("day").isNotNull(), F.struct("day", "total"))))
+    grid = F.transform(F.sequence(start, end), lambda d: F.struct(
+        d.alias("date"), F.round(F.coalesce(F.try_element_at("totals", d), F.lit(0.0)), 4).alias("count_total")))
+    return (daily.groupBy("item_id", "item_name", "store_id").agg(totals.alias("totals"))
+                 .select("item_id", "item_name", "store_id", F.inline(grid))
+                 .select("date", "item_id", "item_name", "store_id", "count_total"))
 
 
 def stockcount_purchases(mart: Mart, as_of: str, months: int = 12) -> DataFrame:

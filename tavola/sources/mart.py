@@ -163,6 +163,7 @@ class Mart:
             F.col("l_quantity").alias("quantity"),
             F.col("l_extendedprice").alias("amount"),
             (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("previouscounttotal"),
+            F.col("l_discount").alias("discount"),
         )
 
     def detail_rows(self, *types: str) -> DataFrame:
@@ -192,7 +193,7 @@ class Mart:
             "transactionid", "lineid", "date", "dow", "week", "period", "year",
             "week_index", "period_index", "id", "store", "itemid", "item",
             "category1", "category2", "uofm", "quantity", "amount",
-            "base_uofm", "base_qty")
+            "base_uofm", "base_qty", "discount")
 
     def stock_count(self, *types: str) -> DataFrame:
         types = types or ("Stock Count", "Waste Log")

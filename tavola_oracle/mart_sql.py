@@ -81,14 +81,14 @@ _DEFS: dict[str, tuple[tuple[str, ...], str]] = {
                l_partkey AS itemid, l_returnflag AS glaccountid,
                {UNIT_CASE} AS unitofmeasurename,
                l_quantity AS quantity, l_extendedprice AS amount,
-               l_extendedprice * (1 - l_discount) AS previouscounttotal
+               l_extendedprice * (1 - l_discount) AS previouscounttotal, l_discount AS discount
         FROM lineitem"""),
     "detail_rows": (("txn", "txn_detail", "restaurants", "item", "calendar", "units", "glaccount"), """
         SELECT td.transactionid, td.lineid, CAST(t.date AS DATE) AS date, c.dow, c.week, c.period,
                c.year, c.week_index, c.period_index, r.id, r.name AS store, t.type,
                gl.name AS account, td.itemid, i.name AS item, i.category1, i.category2,
                td.unitofmeasurename AS uofm, td.quantity, td.amount,
-               td.previouscounttotal AS previous_amount, um.base_uofm, um.base_qty
+               td.previouscounttotal AS previous_amount, um.base_uofm, um.base_qty, td.discount
         FROM txn_detail td
         JOIN txn t ON t.transactionid = td.transactionid
         JOIN restaurants r ON r.locationid = td.locationid

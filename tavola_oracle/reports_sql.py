@@ -12,9 +12,7 @@ def receiving(by: str) -> str:
     return ctes("purchases", extra={
         "lines": """SELECT p.*, n.n_name AS vendor FROM purchases p
                     JOIN supplier ON s_suppkey = p.id JOIN nation n ON n.n_nationkey = s_nationkey
-                    JOIN (SELECT l_orderkey, l_linenumber, l_partkey, max(l_discount) AS d FROM lineitem GROUP BY ALL) x
-                      ON x.l_orderkey = p.transactionid AND x.l_linenumber = p.lineid AND x.l_partkey = p.itemid
-                    WHERE d < 0.1""",
+                    WHERE p.discount < 0.1""",
         "head": """SELECT item, uofm AS unit, base_qty AS factor, base_uofm FROM lines
                    QUALIFY row_number() OVER (PARTITION BY item ORDER BY date, transactionid, lineid, amount, quantity, store) = 1""",
         "spend": f"""SELECT l.item AS ItemName, l.{col} AS {by}, h.unit,
