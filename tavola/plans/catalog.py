@@ -327,3 +327,15 @@ for _name, _fn in [
     ("item_labels", cleaning.item_labels),
 ]:
     query(_name)(_fn)
+
+
+# -- table loads ------------------------------------------------------------------------
+from tavola.plans import loads  # noqa: E402
+
+for _name, _fn in [
+    ("dim_gl_accounts", loads.gl_accounts), ("dim_locations", loads.locations), ("dim_companies", loads.companies), ("dim_items", loads.items),
+    ("dim_purchase_items_all", loads.purchase_items_all), ("dim_recipes", loads.recipe_table), ("inventory_headers", loads.inventory_headers),
+    ("invoice_headers", loads.invoice_headers), ("product_mix_table", loads.product_mix_table), ("menu_items_table", loads.menu_items_table),
+    ("budget_table", loads.budget_table), ("weekly_cost_table", lambda m: loads.weekly_cost_table(m, *COST_WEEK)),
+]:
+    query(_name)(_fn)

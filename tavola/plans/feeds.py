@@ -106,7 +106,7 @@ def dss_list(mart: Mart) -> DataFrame:
 
 
 # -- DOM-19/20: dimensions from nested records ----------------------------------------
-def _landed(df: DataFrame, record, schema: str) -> DataFrame:
+def landed(df: DataFrame, record, schema: str) -> DataFrame:
     """Records as they land: JSON text, parsed with an explicit schema."""
     return df.select(F.to_json(record).alias("j")).select(F.from_json("j", schema).alias("r")).select("r.*")
 
@@ -116,7 +116,7 @@ def job_titles(mart: Mart) -> DataFrame:
     nation = mart.raw("nation")
     rec = F.struct(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"),
                    F.when(F.col("n_nationkey") % 4 != 3, F.struct((F.col("n_regionkey") * 2).alias("id"))).alias("glAccount"))
-    batch = pick(_landed(nation, rec, "id long, name string, glAccount struct<id: long>"),
+    batch = pick(landed(nation, rec, "id long, name string, glAccount struct<id: long>"),
                  {"job_title_id": "id", "name": "name", "glaccountid": "glAccount.id"})
     accounts = mart.raw("region").select(F.col("r_regionkey").alias("glaccountid"))
     batch = validate_fk(batch, "glaccountid", accounts, "glaccountid")
@@ -136,7 +136,7 @@ def sales_accounts(mart: Mart) -> DataFrame:
     rec = F.struct(name.alias("id"), name.alias("name"), label.alias("serviceType"),
                    F.when(F.col("p_size") % 3 != 0, F.struct(F.element_at(F.array(*[F.lit(n) for _, n in GL_ACCOUNTS]), (F.col("p_size") % 3).cast("int")).alias("name")))
                     .alias("glAccount"), F.col("p_partkey").alias("seq"))
-    rows = pick(_landed(part, rec, "id string, name string, serviceType string, glAccount struct<name: string>, seq long"),
+    rows = pick(landed(part, rec, "id string, name string, serviceType string, glAccount struct<name: string>, seq long"),
                 {"sales_account_id": "id", "name": "name", "kind": "serviceType", "gl_account": "glAccount.name", "seq": "seq"})
     service, day_part = split_last("kind")
     rows = rows.select("sales_account_id", "name", service.alias("service_type"), day_part.alias("day_part"), "gl_account", "seq")
@@ -154,7 +154,7 @@ def purchase_items(mart: Mart) -> DataFrame:
                    F.when(F.col("p_size") % 7 != 0, F.struct(F.col("p_type").alias("name"))).alias("itemCategory1"),
                    F.when(F.col("p_size") % 6 != 0, F.struct(F.col("p_brand").alias("name"))).alias("itemCategory2"),
                    (F.col("p_size") % 2 == 0).alias("isKeyItem"))
-    batch = pick(_landed(part, rec, "id long, name string, itemCategory1 struct<name: string>, itemCategory2 struct<name: string>, isKeyItem boolean"),
+    batch = pick(landed(part, rec, "id long, name string, itemCategory1 struct<name: string>, itemCategory2 struct<name: string>, isKeyItem boolean"),
                  {"item_id": "id", "name": "name", "category1": "itemCategory1.name", "category2": "itemCategory2.name", "key_item": "isKeyItem"})
     before = part.filter(p % 3 == 0).select(p.alias("item_id"), F.lit("old").alias("name"), F.lit("kept").alias("category1"),
                                             F.lit("old").alias("category2"), F.lit(False).alias("key_item"))

@@ -135,3 +135,12 @@ ORACLE.update({
     "orders_with_customer": CK.ORDERS_CUSTOMER, "order_weeks": CK.ORDER_WEEKS, "business_days": CK.business_days(),
     "payment_rows": CK.PAYMENT_ROWS, "budget_long": D.budget_long(), "item_labels": CK.ITEM_LABELS,
 })
+
+from tavola_oracle import loads_sql as LD  # noqa: E402
+
+ORACLE.update({
+    "dim_gl_accounts": LD.GL_ACCOUNTS, "dim_locations": LD.LOCATIONS, "dim_companies": LD.COMPANIES, "dim_items": LD.ITEMS,
+    "dim_purchase_items_all": LD.PURCHASE_ITEMS, "dim_recipes": LD.RECIPES, "inventory_headers": LD.INVENTORY_HEADERS,
+    "invoice_headers": LD.INVOICE_HEADERS, "product_mix_table": LD.product_mix_table(), "menu_items_table": LD.menu_items_table(),
+    "budget_table": LD.budget_table(), "weekly_cost_table": LD.weekly_cost_table(2000, 6, 2),
+})
