@@ -324,7 +324,7 @@ for _name, _fn in [
     ("received_lines", cleaning.received_lines), ("store_sums", cleaning.store_sums), ("store_means", cleaning.store_means),
     ("orders_with_customer", cleaning.orders_with_customer), ("order_weeks", cleaning.order_weeks),
     ("business_days", cleaning.business_days), ("payment_rows", cleaning.payment_rows), ("budget_long", cleaning.budget_long),
-    ("item_labels", cleaning.item_labels),
+    ("item_labels", cleaning.item_labels), ("fiscal_totals", cleaning.fiscal_totals), ("store_days", cleaning.store_days),
 ]:
     query(_name)(_fn)
 

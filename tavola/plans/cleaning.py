@@ -9,11 +9,11 @@ from tavola.functions.dates import business_day_bounds, day_of, parse_ts, reform
 from tavola.functions.numeric import nan_to_null
 from tavola.functions.strings import fold_accents, path_join, replace_literals
 from tavola.functions.util import as_col
-from tavola.operators.aggregates import mean_numeric, sum_numeric
-from tavola.operators.calendar import calendar_weeks, prior_week_end
+from tavola.operators.aggregates import conditional_sum, mean_numeric, sum_numeric
+from tavola.operators.calendar import calendar_weeks, date_series, fiscal_of, prior_week_end
 from tavola.operators.filters import range_filter
-from tavola.operators.joins import join_checked
-from tavola.operators.reshape import (cast_to, drop_strict, fill, lower_names, project, rename, replace_values, unpivot,
+from tavola.operators.joins import coalesce_cols, join_checked
+from tavola.operators.reshape import (cast_to, densify, drop_strict, fill, lower_names, project, rename, replace_values, unpivot,
                                       update_where)
 from tavola.plans.dims import budget_wide
 from tavola.plans.pos import payment_report
@@ -104,3 +104,19 @@ def item_labels(mart: Mart) -> DataFrame:
     fixed = replace_literals(name, {"Jalapeno's": "Jalapenos", "Brûlée": "Brulée"})
     return mart.raw("part").select(F.col("p_partkey").alias("itemid"), fold_accents(fixed).alias("label"),
                                    path_join(" > ", "p_brand", F.when(F.col("p_size") % 4 != 0, as_col("p_type")), "p_name").alias("path"))
+
+
+def fiscal_totals(mart: Mart) -> DataFrame:
+    """DT-09 / AGG-07: order totals per fiscal week, those of closed and of open orders apart."""
+    cal = calendar_weeks(mart.raw("orders"), "o_orderdate", FISCAL_EPOCH)
+    o = fiscal_of(mart.raw("orders").select("o_orderdate", "o_orderstatus", F.col("o_totalprice").cast("decimal(20,2)").alias("total")), "o_orderdate", cal)
+    sums = [conditional_sum("total", F.col("o_orderstatus") == s).cast("double").alias(n) for s, n in (("F", "closed"), ("O", "open"))]
+    return o.groupBy("year", "period", "week").agg(F.count("*").alias("orders"), *sums)
+
+
+def store_days(mart: Mart, start: str = "2000-01-01", end: str = "2000-01-14") -> DataFrame:
+    """RSH-04 / DT-06 / PRJ-09: every store on every day of a fortnight with the lines it counted or bought, 0 without any."""
+    grid = densify(mart.restaurants.select("id", F.col("name").alias("name_x")), start, end)
+    days = date_series(mart.spark, start, end)
+    lines = mart.detail_rows().join(F.broadcast(days), "date").groupBy("id", "date").agg(F.count("*").alias("n"), F.first("store").alias("name_y"))
+    return grid.join(lines, ["id", "date"], "left").select("id", "date", coalesce_cols("name_y", "name_x").alias("name"), F.coalesce("n", F.lit(0)).alias("lines"))

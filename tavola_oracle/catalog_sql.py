@@ -134,6 +134,7 @@ ORACLE.update({
     "unmapped_units": CK.UNMAPPED, "received_lines": CK.RECEIVED, "store_sums": CK.STORE_SUMS, "store_means": CK.STORE_MEANS,
     "orders_with_customer": CK.ORDERS_CUSTOMER, "order_weeks": CK.ORDER_WEEKS, "business_days": CK.business_days(),
     "payment_rows": CK.PAYMENT_ROWS, "budget_long": D.budget_long(), "item_labels": CK.ITEM_LABELS,
+    "fiscal_totals": CK.FISCAL_TOTALS, "store_days": CK.STORE_DAYS,
 })
 
 from tavola_oracle import loads_sql as LD  # noqa: E402

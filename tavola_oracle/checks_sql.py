@@ -80,3 +80,17 @@ FROM p WHERE mode IS NULL OR mode = 'SWIPED'"""
 ITEM_LABELS = """
 SELECT p_partkey AS itemid, p_name || CASE p_size % 3 WHEN 0 THEN ' Creme Brulee' WHEN 1 THEN ' Jalapenos' ELSE '' END AS label,
        concat_ws(' > ', p_brand, CASE WHEN p_size % 4 <> 0 THEN p_type END, p_name) AS path FROM part"""
+
+FISCAL_TOTALS = """
+WITH o AS (SELECT CAST(o_totalprice AS DECIMAL(20, 2)) AS total, o_orderstatus AS s,
+                  floor(datediff('day', DATE '1995-01-01', CAST(o_orderdate AS DATE)) / 7.0)::INTEGER AS w FROM orders)
+SELECT (1995 + floor(w / 52.0))::INTEGER AS year, (floor((w - 52 * floor(w / 52.0)) / 4.0) + 1)::INTEGER AS period,
+       (w - 4 * floor(w / 4.0) + 1)::INTEGER AS week, count(*) AS orders, coalesce(sum(CASE WHEN s = 'F' THEN total END), 0)::DOUBLE AS closed,
+       coalesce(sum(CASE WHEN s = 'O' THEN total END), 0)::DOUBLE AS open FROM o GROUP BY 1, 2, 3"""
+
+STORE_DAYS = """
+WITH d AS (SELECT unnest(generate_series(DATE '2000-01-01', DATE '2000-01-14', INTERVAL 1 DAY))::DATE AS date),
+n AS (SELECT l_suppkey AS id, CAST(o_orderdate AS DATE) AS date, count(*) AS n FROM lineitem JOIN orders ON o_orderkey = l_orderkey
+      WHERE l_partkey IN (SELECT p_partkey FROM part) GROUP BY 1, 2)
+SELECT s_suppkey AS id, CAST(d.date AS VARCHAR) AS date, s_name AS name, coalesce(n, 0) AS lines
+FROM supplier CROSS JOIN d LEFT JOIN n ON n.id = s_suppkey AND n.date = d.date"""

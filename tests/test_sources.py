@@ -129,3 +129,19 @@ def test_partitions_that_a_batch_does_not_hold_are_not_rewritten(spark, tmp):
     got = sorted((r.id, r.version, r.amount) for r in merge.read_table(spark, base).collect())
     assert got == [(2, "v1", 2.0), (3, "v2", 5.0), (4, "v1", 6.0), (9, "v1", 9.0)]
     assert merge.read_table(spark, base).columns == ["id", "loc", "d", "version", "amount"]
+
+
+def test_plain_sinks_and_simple_checks(spark, tmp):
+    import pytest
+    from tavola.operators.quality import DataQualityError, quarantine_split, require_not_null
+    df = spark.createDataFrame([(1, "a"), (2, None), (3, "c")], "id long, v string")
+    for _ in range(2):
+        sinks.append(df, os.path.join(tmp, "t"))
+    assert spark.read.parquet(os.path.join(tmp, "t")).count() == 6
+    sinks.write_csv(df, os.path.join(tmp, "csv"), single_file=True)
+    assert sorted(r.id for r in spark.read.option("header", True).schema("id long, v string").csv(os.path.join(tmp, "csv")).collect()) == [1, 2, 3]
+    assert require_not_null(df, "id") is df
+    with pytest.raises(DataQualityError):
+        require_not_null(df, "v")
+    good, bad = quarantine_split(df, F.col("v") == "c")
+    assert [r.id for r in bad.collect()] == [3] and sorted(r.id for r in good.collect()) == [1, 2]
