@@ -6,9 +6,14 @@ of an element of its format's finite set, and a keyed Feistel network with
 cycle walking permutes that set: the pseudonym is a valid value of the same
 format, distinct values stay distinct, and equal values (however they are
 punctuated) get equal pseudonyms in every document, so they stay linked. The
-key is a parameter; without it the permutation cannot be inverted.
-
-Null text stays null with no finds; a text is read whole, in one pass.
+key is a parameter or the setting ``SETTING`` of the session; there is no default,
+and whoever lacks the key cannot invert the permutation. ``TEST_KEY`` is public
+and only for the registered query and the pipeline over the given test tables;
+a session with the setting overrides it there.
+
+Null text stays null with no finds; a text is read whole, in one pass. Finds do
+not overlap: the leftmost wins, of several at one place the kind that stands
+first in ``PATTERN``. Rows that repeat are each replaced, alike.
 """
 
 from __future__ import annotations
@@ -26,7 +31,8 @@ from pyspark.sql import functions as F
 from tavola.llm.common import map_arrow, table
 
 KINDS = ("card", "date", "email", "iban", "ip", "phone", "secret", "ssn")
-KEY = "corpus-pseudonyms"
+SETTING = "spark.tavola.pseudonyms.key"
+TEST_KEY = "corpus-pseudonyms"
 ROUNDS = 8
 
 # Shapes of the values looked for.
@@ -192,8 +198,17 @@ def replace(text: str, key: str, counts: dict[str, int]) -> str:
     return PATTERN.sub(one, text) if MAYBE.search(text) else text
 
 
-def pseudonymise(docs: DataFrame, key: str = KEY, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def key_of(spark: SparkSession, default: str | None = None) -> str:
+    """The key that the session sets; without it ``default``, and an error without either."""
+    key = spark.conf.get(SETTING, None) or default
+    if not key:
+        raise ValueError(f"pseudonyms need a key: pass one or set {SETTING}")
+    return key
+
+
+def pseudonymise(docs: DataFrame, key: str | None = None, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The columns ``carry``, text (values replaced) and the number of finds by kind, per input row."""
+    key = key or key_of(docs.sparkSession)
     docs = docs.select(*carry, F.col("text").cast("string"))
     kinds = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in docs.schema if f.name != "text")
 
@@ -209,4 +224,4 @@ def pseudonymise(docs: DataFrame, key: str = KEY, carry: tuple[str, ...] = ("doc
 
 
 def op9_feistel_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pseudonymise(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return pseudonymise(table(spark, sf_dir, "documents", "doc_id", "text"), key_of(spark, TEST_KEY))
