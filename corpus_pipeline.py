@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from tavola.llm.common import park, table
 from tavola.llm.decontaminate import contaminated
 from tavola.llm.order_minhash import SHINGLE, rows_with_classes
-from tavola.llm.pii import pseudonymise
+from tavola.llm.pii import TEST_KEY, key_of, pseudonymise
 from tavola.llm.quality_kn import classify
 from tavola.llm.sentencepiece_viterbi import encode
 
@@ -68,7 +68,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     plain = _plain(docs, "doc_id", "text")
     others = tuple(c for c in plain.columns if c != "text")
-    out = pseudonymise(plain, carry=others).select(*plain.columns).toDF(*docs.columns)
+    out = pseudonymise(plain, key_of(spark, TEST_KEY), others).select(*plain.columns).toDF(*docs.columns)
     return out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
 
 
