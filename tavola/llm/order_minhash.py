@@ -8,11 +8,13 @@ same k-mers in the same order and so follows edit similarity.
 
 * Documents with the same words are one text: its smallest doc_id stands for
   all copies, and copies are never compared.
-* A bucket links each member with the bucket's smallest document only, so a
-  bucket of thousands costs as many pairs, and members meet other leaders in
-  the other tables. A text is first aligned with the leader that it meets in
-  most tables; its other pairs are aligned only where that left both texts in
-  different classes.
+* A text is first aligned with the smallest document of a bucket that it meets
+  in most tables, then with the smallest ones of its other buckets where that
+  left both texts in different classes. All other pairs of a bucket follow, but
+  those whose texts are of one class by then, and those that bounds on the two
+  similarities rule out. So no link between different
+  classes is lost, and a bucket of thousands of texts of one class costs as many
+  pairs.
 * A pair is a link if the edit distance of its word sequences, found by a
   banded alignment whose band grows up to the allowed distance, is at most
   ``1 - SIMILARITY`` of the longer one and, where ``shingle`` is given, the
@@ -46,6 +48,8 @@ SIMILARITY = 0.8
 SHINGLE = 0.8
 PIECE = 1 << 16
 FAR = 1 << 20
+CELL_BITS = 10
+WORDS = (1 << CELL_BITS) // 64
 
 
 def labelled(grams: np.ndarray) -> np.ndarray:
@@ -229,6 +233,52 @@ def _links(pairs: DataFrame, codes: DataFrame, similarity: float, gram: int, shi
                      "u long, v long")
 
 
+def _signature(gram: int):
+    """Number of distinct k-mers of a text and the parity of their number in each of 64 * WORDS cells."""
+    def fn(batch: pa.RecordBatch):
+        size, bits = [], []
+        for x in batch.column("codes").to_pylist():
+            codes = np.frombuffer(x, dtype=np.int32)
+            grams = shingles(codes, gram) if len(codes) else np.zeros(0, np.uint64)
+            cells = np.bincount((flat.mix(grams) >> np.uint64(64 - CELL_BITS)).astype(np.int64), minlength=1 << CELL_BITS) & 1
+            size.append(len(grams))
+            bits.append(np.packbits(cells.astype(np.uint8)).view(np.int64))
+        bits = np.array(bits)
+        yield {"node": batch.column("node"), "size": np.array(size, dtype=np.int64)} | {f"s{i}": bits[:, i] for i in range(WORDS)}
+    return fn
+
+
+def _rest_of_buckets(texts: DataFrame, buckets: DataFrame, done: DataFrame, roots: DataFrame, codes: DataFrame,
+                     similarity: float, gram: int, shingle: float | None) -> DataFrame:
+    """member, leader: the pairs of every bucket's texts that are of different classes, apart from those that are done.
+
+    Only buckets with texts of several classes are joined with themselves, on the bucket, which splits a large one.
+    Pairs that cannot be links are left out by bounds: an edit distance is at least the difference of the lengths, and
+    a k-mer that only one of two texts holds changes the parity of one cell, so the cells that differ are at most those
+    k-mers, which the Jaccard similarity limits.
+    """
+    near = f"leader < member AND rl <> rm AND abs(nl - nm) <= floor({1 - similarity!r}D * greatest(nl, nm) + 1e-9D)"
+    texts = (texts.select("node", "n_words", "bands").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
+    named = texts.select("node", "root", "n_words", F.explode("bands").alias("band")).join(buckets.filter("n > 2").select("band"), "band")
+    several = named.groupBy("band").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a < b").select("band")
+    named = park(named.join(several, "band", "left_semi"), tidy=True)
+    sides = []
+    kept = ["size", *[f"s{i}" for i in range(WORDS)]] if shingle is not None else []
+    if kept:
+        nodes = named.select("node").distinct()
+        signed = map_arrow(codes.join(nodes, "node", "left_semi"), _signature(gram), "node long, size long, " + ", ".join(f"s{i} long" for i in range(WORDS)))
+        named = park(named.join(signed, "node"), tidy=True)
+        apart = " + ".join(f"bit_count(l_s{i} ^ r_s{i})" for i in range(WORDS))
+        near += (f" AND least(l_size, r_size) >= {shingle!r}D * greatest(l_size, r_size) - 1e-6D"
+                 f" AND {apart} <= (l_size + r_size) * {1 - 2 * shingle / (1 + shingle)!r}D + 1e-6D")
+    for node, end in (("leader", "l"), ("member", "r")):
+        short = {"l": ("rl", "nl"), "r": ("rm", "nm")}[end]
+        sides.append(named.select("band", F.col("node").alias(node), F.col("root").alias(short[0]), F.col("n_words").alias(short[1]),
+                                  *[F.col(c).alias(f"{end}_{c}") for c in kept]))
+    pairs = sides[0].join(sides[1], "band").filter(near).select("member", "leader").distinct()
+    return park(pairs.join(done, ["member", "leader"], "left_anti"), tidy=True)
+
+
 def near_duplicates(docs: DataFrame, gram: int = GRAM, keep: int = KEEP, tables: int = TABLES,
                     similarity: float = SIMILARITY, shingle: float | None = None) -> DataFrame:
     """doc_id, rep_id (smallest doc_id with the same words), class_id, one row per input row."""
@@ -252,8 +302,8 @@ def rows_with_classes(docs: DataFrame, gram: int = GRAM, keep: int = KEEP, table
     texts = park(texts.orderBy("rep_id", *key).withColumn("node", F.monotonically_increasing_id()))
     rows = texts.select("node", F.explode("bands").alias("band"))
     buckets = park(rows.groupBy("band").agg(F.min("node").alias("leader"), F.count("*").alias("n"))
-                   .filter("n > 1").select("band", "leader"))
-    pairs = park(rows.join(buckets, "band").filter("node <> leader").groupBy(F.col("node").alias("member"), "leader")
+                   .filter("n > 1").select("band", "leader", "n"))
+    pairs = park(rows.join(buckets.drop("n"), "band").filter("node <> leader").groupBy(F.col("node").alias("member"), "leader")
                  .agg(F.count("*").alias("met")), tidy=True)
     best = pairs.groupBy("member").agg(F.max(F.struct("met", F.expr("-leader").alias("l"))).alias("b"))
     best = park(best.select("member", F.expr("-b.l").alias("leader")))
@@ -269,7 +319,10 @@ def rows_with_classes(docs: DataFrame, gram: int = GRAM, keep: int = KEEP, table
              .join(roots.select(F.col("node").alias("leader"), F.col("root").alias("rl")), "leader", "left")
              .filter("coalesce(rm, member) <> coalesce(rl, leader)"))
     second = park(_links(park(named.select("member", "leader"), tidy=True), codes, similarity, gram, shingle))
-    final = park(components(first.unionByName(second)))
+    linked = park(first.unionByName(second))
+    roots = park(components(linked))
+    third = park(_links(_rest_of_buckets(texts, buckets, pairs, roots, codes, similarity, gram, shingle), codes, similarity, gram, shingle))
+    final = park(components(linked.unionByName(third)))
     names = texts.select(F.col("node").alias("root"), F.col("rep_id").alias("class_id"))
     classes = final.join(names, "root").select("node", "root", "class_id")
     return (scanned.select("doc_id", "text_id", *key).join(texts.select(*key, "rep_id", "node"), key, "left")

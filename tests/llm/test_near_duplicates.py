@@ -1,12 +1,14 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tavola.llm.graph import components
-from tavola.llm.order_minhash import FAR, SHINGLE, alike, distances, labelled, near_duplicates, op8_order_minhash
+from tavola.llm.order_minhash import (FAR, SHINGLE, WORDS, _scan, _signature, alike, distances, labelled, near_duplicates, op8_order_minhash,
+                                      shingles)
 from tests.llm.conftest import EDGE, TINY
 
 
@@ -129,3 +131,41 @@ def test_one_doc_id_with_several_texts(make):
     rows = [(1, a), (5, a), (5, b), (5, c), (9, c), (7, b + " end"), (5, b)]
     got = sorted(tuple(r) for r in near_duplicates(make(rows), shingle=SHINGLE).collect())
     assert got == [(1, 1, 1), (5, 1, 1), (5, 5, 5), (5, 5, 5), (5, 5, 5), (7, 7, 5), (9, 5, 5)]
+
+
+def test_links_between_texts_that_are_not_the_buckets_first(spark, make):
+    """Texts a and b are alike, but share their only bucket with a smaller text that neither is like."""
+    rnd = random.Random(3)
+    shared = [f"s{i}" for i in range(120)]
+    def odd(tag, n):
+        return [f"{tag}{i}" for i in range(n)]
+    a = shared + odd("x", 60)
+    b = list(a)
+    b[170] = "other"
+    first = shared + odd("y", 60)
+    found = 0
+    for _ in range(12):  # some of the draws have all three in one bucket
+        names = {w: f"{w}q{rnd.randrange(10**6)}" for w in {*a, *b, *first}}
+        rows = [(i, " ".join(names[w] for w in t)) for i, t in enumerate((first, a, b))]
+        scanned = list(_scan(5, 3, 1)(pa.RecordBatch.from_pydict({"doc_id": [0, 1, 2], "text_id": [0, 1, 2], "text": [t for _, t in rows]})))
+        if len({x[0] for x in scanned[0]["bands"].to_pylist()}) > 1:
+            continue
+        found += 1
+        for shingle in (SHINGLE, None):
+            got = classes(near_duplicates(make(rows), tables=1, shingle=shingle).collect())
+            assert got == {0: 0, 1: 1, 2: 1}
+        break
+    assert found
+
+
+def test_parity_bounds_the_different_grams():
+    rng = np.random.default_rng(1)
+    base = rng.integers(0, 1 << 30, 400).astype(np.int32)
+    texts = [base, np.r_[base[:200], rng.integers(0, 1 << 30, 80).astype(np.int32), base[200:]], rng.integers(0, 3, 300).astype(np.int32), base[:0]]
+    out = next(_signature(5)(pa.RecordBatch.from_pydict({"node": list(range(4)), "codes": [t.tobytes() for t in texts]})))
+    sets = [set(shingles(t, 5).tolist()) if len(t) else set() for t in texts]
+    assert out["size"].tolist() == [len(s) for s in sets]
+    for i, x in enumerate(sets):
+        for j, y in enumerate(sets):
+            apart = sum(bin((int(out[f"s{k}"][i]) ^ int(out[f"s{k}"][j])) & (1 << 64) - 1).count("1") for k in range(WORDS))
+            assert apart <= len(x ^ y) and (apart > 0 or i == j or not x ^ y)
