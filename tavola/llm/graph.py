@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tavola.llm.common import discard, park
+from tavola.llm.common import discard, few, park
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -18,19 +18,22 @@ def components(links: DataFrame) -> DataFrame:
     Each round rewrites the links so that neighbours point at smaller nodes; it
     ends when nothing changes, after O(log n) rounds. A node with very many
     links is a pre-aggregated minimum and a join that can be split, never a
-    gathered list. Only two numbers per round reach the driver.
+    gathered list. Only two numbers per round reach the driver. The steps of a
+    round take as many tasks as the links need, whatever the shuffle partitions.
     """
-    edges = park(links.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+    links = links.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+    edges = park(few(links.distinct(), links.count()))
     state = _state(edges)
-    while True:
+    while state[0]:
         both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        small = park(both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m")))
-        large_star = park(both.join(small, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-                          .distinct())
-        low = park(large_star.groupBy("u").agg(F.min("v").alias("m")))
+        rows = 2 * state[0]
+        small = park(few(both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m")), rows))
+        large_star = park(few(both.join(small, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+                              .distinct(), rows))
+        low = park(few(large_star.groupBy("u").agg(F.min("v").alias("m")), rows))
         hung = large_star.join(low, "u")
-        after = park(hung.filter("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-                     .unionByName(low.select("u", F.col("m").alias("v"))).distinct())
+        after = park(few(hung.filter("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+                         .unionByName(low.select("u", F.col("m").alias("v"))).distinct(), rows))
         now = _state(after)
         for old in (edges, small, large_star, low):
             discard(old)
@@ -38,4 +41,14 @@ def components(links: DataFrame) -> DataFrame:
         if state == before:
             break
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
-        edges.select("v").distinct().select(F.col("v").alias("node"), F.col("v").alias("root")))
+        few(edges.select("v").distinct(), state[0]).select(F.col("v").alias("node"), F.col("v").alias("root")))
+
+
+def merged(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """``roots``, as of ``components``, after further links: only these are followed, between the components that stand."""
+    ends = (links.join(roots.select(F.col("node").alias("u"), F.col("root").alias("ru")), "u", "left")
+            .join(roots.select(F.col("node").alias("v"), F.col("root").alias("rv")), "v", "left")
+            .select(F.coalesce("ru", "u").alias("u"), F.coalesce("rv", "v").alias("v")))
+    over = park(components(park(ends)))
+    stood = roots.join(over.select(F.col("node").alias("root"), F.col("root").alias("top")), "root", "left")
+    return stood.select("node", F.coalesce("top", "root").alias("root")).unionByName(over.join(roots, "node", "left_anti").select("node", "root"))

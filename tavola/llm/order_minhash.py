@@ -38,8 +38,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tavola.llm import flat
-from tavola.llm.common import map_arrow, park, table
-from tavola.llm.graph import components
+from tavola.llm.common import few, map_arrow, park, table
+from tavola.llm.graph import components, merged
 
 GRAM = 5
 KEEP = 3
@@ -50,6 +50,9 @@ PIECE = 1 << 16
 FAR = 1 << 20
 CELL_BITS = 10
 WORDS = (1 << CELL_BITS) // 64
+#: Rows of a few numbers that a whole text, and the alignment of two, count for.
+TEXT_ROWS = 4 * TABLES
+PAIR_ROWS = 2 * TEXT_ROWS
 
 
 def labelled(grams: np.ndarray) -> np.ndarray:
@@ -229,8 +232,8 @@ def _verify(similarity: float, gram: int, shingle: float | None):
 def _links(pairs: DataFrame, codes: DataFrame, similarity: float, gram: int, shingle: float | None) -> DataFrame:
     left = codes.select(F.col("node").alias("member"), F.col("codes").alias("left"))
     right = codes.select(F.col("node").alias("leader"), F.col("codes").alias("right"))
-    return map_arrow(pairs.select("member", "leader").join(left, "member").join(right, "leader"), _verify(similarity, gram, shingle),
-                     "u long, v long")
+    met = pairs.select("member", "leader").join(left, "member").join(right, "leader")
+    return map_arrow(few(met, pairs.count() * PAIR_ROWS), _verify(similarity, gram, shingle), "u long, v long")
 
 
 def _signature(gram: int):
@@ -249,7 +252,7 @@ def _signature(gram: int):
 
 
 def _rest_of_buckets(texts: DataFrame, buckets: DataFrame, done: DataFrame, roots: DataFrame, codes: DataFrame,
-                     similarity: float, gram: int, shingle: float | None) -> DataFrame:
+                     entries: int, similarity: float, gram: int, shingle: float | None) -> DataFrame:
     """member, leader: the pairs of every bucket's texts that are of different classes, apart from those that are done.
 
     Only buckets with texts of several classes are joined with themselves, on the bucket, which splits a large one.
@@ -261,13 +264,13 @@ def _rest_of_buckets(texts: DataFrame, buckets: DataFrame, done: DataFrame, root
     texts = (texts.select("node", "n_words", "bands").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
     named = texts.select("node", "root", "n_words", F.explode("bands").alias("band")).join(buckets.filter("n > 2").select("band"), "band")
     several = named.groupBy("band").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a < b").select("band")
-    named = park(named.join(several, "band", "left_semi"), tidy=True)
+    named = park(few(named.join(several, "band", "left_semi"), entries), tidy=True)
     sides = []
     kept = ["size", *[f"s{i}" for i in range(WORDS)]] if shingle is not None else []
     if kept:
         nodes = named.select("node").distinct()
         signed = map_arrow(codes.join(nodes, "node", "left_semi"), _signature(gram), "node long, size long, " + ", ".join(f"s{i} long" for i in range(WORDS)))
-        named = park(named.join(signed, "node"), tidy=True)
+        named = park(few(named.join(signed, "node"), entries * WORDS), tidy=True)
         apart = " + ".join(f"bit_count(l_s{i} ^ r_s{i})" for i in range(WORDS))
         near += (f" AND least(l_size, r_size) >= {shingle!r}D * greatest(l_size, r_size) - 1e-6D"
                  f" AND {apart} <= (l_size + r_size) * {1 - 2 * shingle / (1 + shingle)!r}D + 1e-6D")
@@ -296,22 +299,24 @@ def rows_with_classes(docs: DataFrame, gram: int = GRAM, keep: int = KEEP, table
     key = ["k1", "k2", "n_words"]
     scanned = park(map_arrow(docs, _scan(gram, keep, tables),
                              "doc_id long, text_id long, n_words long, k1 long, k2 long, bands array<long>"))
-    texts = (scanned.filter("doc_id IS NOT NULL AND n_words > 0").groupBy(*key)
-             .agg(F.min(F.struct("doc_id", "bands")).alias("s")).select(*key, F.col("s.doc_id").alias("rep_id"), "s.bands"))
+    entries = scanned.count() * tables
+    texts = (few(scanned.filter("doc_id IS NOT NULL AND n_words > 0").groupBy(*key).agg(F.min(F.struct("doc_id", "bands")).alias("s")), entries)
+             .select(*key, F.col("s.doc_id").alias("rep_id"), "s.bands"))
     # numbers in the order of doc_id, unique also where a doc_id is the first of several texts
     texts = park(texts.orderBy("rep_id", *key).withColumn("node", F.monotonically_increasing_id()))
     rows = texts.select("node", F.explode("bands").alias("band"))
-    buckets = park(rows.groupBy("band").agg(F.min("node").alias("leader"), F.count("*").alias("n"))
-                   .filter("n > 1").select("band", "leader", "n"))
-    pairs = park(rows.join(buckets.drop("n"), "band").filter("node <> leader").groupBy(F.col("node").alias("member"), "leader")
-                 .agg(F.count("*").alias("met")), tidy=True)
+    buckets = park(few(rows.groupBy("band").agg(F.min("node").alias("leader"), F.count("*").alias("n"))
+                       .filter("n > 1").select("band", "leader", "n"), entries))
+    pairs = park(few(rows.join(buckets.drop("n"), "band").filter("node <> leader").groupBy(F.col("node").alias("member"), "leader")
+                     .agg(F.count("*").alias("met")), entries), tidy=True)
     best = pairs.groupBy("member").agg(F.max(F.struct("met", F.expr("-leader").alias("l"))).alias("b"))
-    best = park(best.select("member", F.expr("-b.l").alias("leader")))
+    best = park(few(best.select("member", F.expr("-b.l").alias("leader")), pairs.count()))
     paired = pairs.select(F.col("member").alias("node")).union(pairs.select("leader")).distinct()
-    asked = park(paired.join(texts.select("node", F.col("rep_id").alias("doc_id"), *[F.col(k).alias(f"of_{k}") for k in key]), "node"))
-    codes = map_arrow(docs.join(asked.hint("shuffle_hash"), "doc_id").drop("text_id"), _codes,
+    asked = park(few(paired.join(texts.select("node", F.col("rep_id").alias("doc_id"), *[F.col(k).alias(f"of_{k}") for k in key]), "node"), entries))
+    whole = entries // tables * TEXT_ROWS
+    codes = map_arrow(few(docs.join(asked.hint("shuffle_hash"), "doc_id").drop("text_id"), whole), _codes,
                       "node long, same boolean, codes binary")
-    codes = park(codes.filter("same").drop("same").dropDuplicates(["node"]), tidy=True)
+    codes = park(few(codes.filter("same").drop("same").dropDuplicates(["node"]), whole), tidy=True)
     first = park(_links(best, codes, similarity, gram, shingle))
     roots = park(components(first))
     named = (pairs.join(best, ["member", "leader"], "left_anti")
@@ -319,10 +324,10 @@ def rows_with_classes(docs: DataFrame, gram: int = GRAM, keep: int = KEEP, table
              .join(roots.select(F.col("node").alias("leader"), F.col("root").alias("rl")), "leader", "left")
              .filter("coalesce(rm, member) <> coalesce(rl, leader)"))
     second = park(_links(park(named.select("member", "leader"), tidy=True), codes, similarity, gram, shingle))
-    linked = park(first.unionByName(second))
-    roots = park(components(linked))
-    third = park(_links(_rest_of_buckets(texts, buckets, pairs, roots, codes, similarity, gram, shingle), codes, similarity, gram, shingle))
-    final = park(components(linked.unionByName(third)))
+    roots = park(merged(roots, second))
+    third = park(_links(_rest_of_buckets(texts, buckets, pairs, roots, codes, entries, similarity, gram, shingle),
+                        codes, similarity, gram, shingle))
+    final = park(merged(roots, third))
     names = texts.select(F.col("node").alias("root"), F.col("rep_id").alias("class_id"))
     classes = final.join(names, "root").select("node", "root", "class_id")
     return (scanned.select("doc_id", "text_id", *key).join(texts.select(*key, "rep_id", "node"), key, "left")

@@ -6,7 +6,7 @@ import pyarrow.parquet as pq
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tavola.llm.graph import components
+from tavola.llm.graph import components, merged
 from tavola.llm.order_minhash import (FAR, SHINGLE, WORDS, _scan, _signature, alike, distances, labelled, near_duplicates, op8_order_minhash,
                                       shingles)
 from tests.llm.conftest import EDGE, TINY
@@ -47,6 +47,40 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "u long, v long")).count() == 0
 
 
+def test_components_of_few_links_take_few_tasks(spark):
+    """Whatever the number of shuffle partitions, which is that of the large steps."""
+    links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100 + i, 100) for i in range(40)], "u long, v long")
+    conf = {"spark.sql.shuffle.partitions": "211", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    sc = spark.sparkContext
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        sc.setLocalProperty("spark.jobGroup.id", "few links")
+        got = dict(map(tuple, components(links).collect()))
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert set(got.values()) == {0, 100} and len(got) == 81
+    tracker = sc.statusTracker()
+    infos = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup("few links") for s in tracker.getJobInfo(j).stageIds]
+    tasks = [i.numTasks for i in infos if i]
+    assert tasks and max(tasks) < 100
+
+
+def test_components_after_further_links(spark):
+    rnd = random.Random(6)
+    def frame(links):
+        return spark.createDataFrame(links, "u long, v long")
+    for n in (0, 5, 60):
+        old = [(rnd.randrange(80), rnd.randrange(80)) for _ in range(40)]
+        new = [(rnd.randrange(100), rnd.randrange(100)) for _ in range(n)]
+        got = sorted(map(tuple, merged(components(frame(old)), frame(new)).collect()))
+        assert got == sorted(map(tuple, components(frame(old + new)).collect()))
+    assert merged(components(frame([])), frame([(3, 2)])).count() == 2
+
+
 def classes(rows):
     return {r.doc_id: r.class_id for r in rows}
 
