@@ -100,3 +100,26 @@ def test_every_trusted_document_is_used(spark):
     assert {(r.lang, r.train): r["count"] for r in got} == {(k, t): 5000 for k in ("en", "fr", None) for t in (True, False)}
     nth = Q.trusted_ids(docs, labels).filter("l = 'en'").orderBy("h").select("nth").collect()
     assert [r.nth for r in nth] == list(range(1, 10_001))
+
+
+def test_every_byte_is_told_apart(spark):
+    """Words of the rarest bytes and the same bytes in another order: no two bytes share a symbol."""
+    rnd = random.Random(9)
+    common = [chr(c) for c in range(33, 91)]
+    rare = ["\u0436\u0438\u0437\u043d\u044c", "\u043c\u0438\u0440"]
+    rows = [(i, "x", " ".join("".join(rnd.choices(common, k=5)) for _ in range(60)) + " " + rare[i % 2]) for i in range(200)]
+    rows += [(900, "x", " ".join(rare * 20)), (901, "x", " ".join(w[::-1] for w in rare * 20))]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(200)], "doc_id long, quality int, toxic int")
+    assert len(set(Q.alphabet(docs, Q.BYTES).tolist())) == 256
+    got = {r.doc_id: r.perplexity for r in Q.classify(docs, labels, ["doc_id", "lang"]).filter("doc_id >= 900").collect()}
+    assert got[901] > 2 * got[900], got
+
+
+def test_lookup_is_the_table(spark, make):
+    rnd = random.Random(3)
+    df = make([(i, "".join(rnd.choice("aab bc\u00e9\n") for _ in range(300))) for i in range(5)])
+    model = Q.estimate(Q.count_grams(df, Q.alphabet(df)))
+    code = np.arange(0, Q.ALPHABET ** 4, 7, dtype=np.uint32)
+    code = np.concatenate([code, model["gram"][(model["order"] == 4) & model["seen"]]])
+    assert np.allclose(Q.Lookup(model, Q.ALPHABET)(code), Q.dense(model)[code], atol=1e-5)
