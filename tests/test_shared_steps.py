@@ -56,3 +56,12 @@ def test_two_weeks_at_once(spark):
     apart = cost.weekly_item_base_cost(m, 2000, 6, 2).unionByName(cost.weekly_item_base_cost(m, 2000, 6, 1))
     assert both.count() > 0 and both.exceptAll(apart).isEmpty() and apart.exceptAll(both).isEmpty()
     assert {r.week_index for r in loads.weekly_cost_table(m, 2000, 6, 2).select("week_index").distinct().collect()} == {280, 281}
+
+
+def test_menu_rows_are_written_before_they_are_rated(spark):
+    m = Mart(spark, SF)
+    rated = menu.menu_rating(m, menu.specialty_items(m))
+    assert not [f for f in rated.inputFiles() if "lineitem" in f]  # the means do not total the lines again
+    assert rated.count() > 0
+    numbered = menu.menu_report(m, menu.specialty_items(m))
+    assert "LogicalRDD" not in numbered._jdf.queryExecution().optimizedPlan().toString()  # compressed table, no checkpoint
